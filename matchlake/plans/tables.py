@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.fixed_values import UNCREDITED_KINDS
+from matchlake.operators.maintain import assign_key
+from matchlake.operators.normalise import split_valid, teams, venues
+from matchlake.plans.text_matches import match_documents
 from matchlake.session import configure
 
 
@@ -75,6 +78,25 @@ class Tables:
             F.col("o_orderpriority").alias("award"),
         )
 
+    @cached_property
+    def match_docs(self) -> DataFrame:
+        """One row per text: a nested match document, already typed."""
+        return match_documents(self.read("documents"))
+
+    @cached_property
+    def good_docs(self) -> DataFrame:
+        """The match documents that load."""
+        return split_valid(self.match_docs)[0]
+
+    @cached_property
+    def teams(self) -> DataFrame:
+        return assign_key(teams(self.good_docs), ["team_name"], "team_id")
+
+    @cached_property
+    def venues(self) -> DataFrame:
+        named = venues(self.good_docs)
+        return named.join(assign_key(named, ["venue_name"], "venue_id"), "venue_name")
+
     @cached_property
     def season_balls(self) -> DataFrame:
         """Balls with the season and team of their match."""
