@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from matchlake.fixed_values import DEFAULT_ROWS, MAX_ROWS, UNCREDITED_KINDS_NARROW
 from matchlake.functions.numbers import ratio, whole_div
 from matchlake.operators.ranking import null_safe_join, number_rows, rank_by
+from matchlake.session import cut_lineage
 
 Players = DataFrame | Sequence | None
 
@@ -59,8 +60,11 @@ def cap(df: DataFrame, order: Sequence[Column], n: int = DEFAULT_ROWS) -> DataFr
 
 
 def combined_rank(balls: DataFrame, season: int | None = None, min_balls: int = 50, n: int = 25) -> DataFrame:
-    """Batters by the sum of their strike-rate rank and their average rank."""
-    stats = (
+    """Batters by the sum of their strike-rate rank and their average rank.
+
+    The balls are read once; the ranks are taken over the written batter sums.
+    """
+    stats = cut_lineage(
         in_play(balls, season)
         .groupBy("batter")
         .agg(_runs().alias("runs"), _count(F.col("wides") == 0).alias("faced"), F.sum("striker_outs").alias("outs"))

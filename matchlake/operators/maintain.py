@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.operators.ranking import number_by_hash
+from matchlake.session import cut_lineage
 
 
 def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str = "last") -> DataFrame:
@@ -55,13 +56,15 @@ def assign_key(
     """Dense whole-number keys for the distinct ``natural`` values.
 
     Keys already given in ``existing`` (natural..., key) never change; new values go on after the highest one. The
-    numbering runs over hash buckets, so that no task sorts all values.
+    numbering runs over hash buckets, so that no task sorts all values. The distinct values are written to the shared
+    checkpoint folder first: they are needed twice, and ``df`` may be long to read.
     """
     natural = list(natural)
     values = df.select(*natural).where(F.col(natural[0]).isNotNull()).distinct()
     if existing is None:
-        return number_by_hash(values, natural, key)
-    new = number_by_hash(values.join(existing.select(*natural), natural, "left_anti"), natural, key)
+        return number_by_hash(cut_lineage(values), natural, key)
+    unknown = cut_lineage(values.join(existing.select(*natural), natural, "left_anti"))
+    new = number_by_hash(unknown, natural, key)
     last = existing.agg(F.coalesce(F.max(key), F.lit(0).cast("long")).alias("last")).scalar()
     return existing.select(*natural, F.col(key).cast("long").alias(key)).unionByName(
         new.withColumn(key, F.col(key) + last)

@@ -428,18 +428,30 @@ def judge(docs: DataFrame) -> DataFrame:
     return docs.withColumn("problems", problems)
 
 
+def judge_players(judged: DataFrame, players: DataFrame) -> DataFrame:
+    """Add to ``problems`` where a match refers to a person that is not in ``players`` (identifier).
+
+    Only the distinct identifiers are compared with the players; the strangers among them are few.
+    """
+    used = judged.select("match_id", F.explode(F.array_distinct(F.map_values(_registry()))).alias("identifier")).where(
+        present(F.col("identifier"))
+    )
+    strangers = used.select("identifier").distinct().join(players.select("identifier"), "identifier", "left_anti")
+    marked = used.join(strangers, "identifier", "left_semi").select("match_id").distinct().withColumn("_odd", F.lit(True))
+    more = F.when(F.col("_odd"), F.array(F.lit("unknown player"))).otherwise(_no_names())
+    return judged.join(marked, "match_id", "left").withColumn("problems", F.concat("problems", more)).drop("_odd")
+
+
+def split_judged(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Matches without problems, and the (match_id, problems) of the others."""
+    fine = F.size("problems") == 0
+    return judged.where(fine).drop("problems"), judged.where(~fine).select("match_id", "problems")
+
+
 def split_valid(docs: DataFrame, players: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Matches that load and matches that do not (match_id, problems): one bad name keeps the whole match out.
 
     With ``players`` (identifier), matches that refer to an unknown person are kept out as well.
     """
     judged = judge(docs)
-    if players is not None:
-        used = docs.select("match_id", F.explode(F.array_distinct(F.map_values(_registry()))).alias("identifier"))
-        unknown = used.where(present(F.col("identifier"))).join(players.select("identifier"), "identifier", "left_anti")
-        strangers = unknown.select("match_id").distinct().withColumn("_unknown", F.lit(True))
-        judged = judged.join(strangers, "match_id", "left")
-        more = F.when(F.col("_unknown"), F.array(F.lit("unknown player"))).otherwise(_no_names())
-        judged = judged.withColumn("problems", F.concat("problems", more)).drop("_unknown")
-    fine = F.size("problems") == 0
-    return judged.where(fine).drop("problems"), judged.where(~fine).select("match_id", "problems")
+    return split_judged(judged if players is None else judge_players(judged, players))

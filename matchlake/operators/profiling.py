@@ -43,11 +43,12 @@ def profile(tables: dict[str, DataFrame], order: dict[str, Sequence[str]], ignor
             *[F.col(f.name).cast("string").alias(f"s{i}") for i, f in enumerate(fields) if _comparable(f)],
         )
         samples = top.agg(
-            *[F.array_sort(F.collect_list(F.struct("_k", f"s{i}"))).getField(f"s{i}").alias(f"v{i}")
-              for i, f in enumerate(fields) if _comparable(f)],
-            F.lit(1).alias("_one"),
+            F.struct(
+                *[F.array_sort(F.collect_list(F.struct("_k", f"s{i}"))).getField(f"s{i}").alias(f"v{i}")
+                  for i, f in enumerate(fields) if _comparable(f)]
+            ).alias("v")
         )
-        both = sums.withColumn("_one", F.lit(1)).join(samples, "_one")
+        both = sums.withColumn("v", samples.scalar())
         text, texts = F.lit(None).cast("string"), F.lit(None).cast("array<string>")
         rows = F.array(*[
             F.struct(
@@ -56,7 +57,7 @@ def profile(tables: dict[str, DataFrame], order: dict[str, Sequence[str]], ignor
                 (F.col("n_rows") - F.col(f"c{i}")).alias("n_nulls"),
                 (F.col(f"m{i}.low") if _comparable(f) else text).alias("low"),
                 (F.col(f"m{i}.high") if _comparable(f) else text).alias("high"),
-                (F.col(f"v{i}") if _comparable(f) else texts).alias("samples"),
+                (F.col(f"v.v{i}") if _comparable(f) else texts).alias("samples"),
             )
             for i, f in enumerate(fields)
         ])

@@ -2,24 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from matchlake.operators import maintain as mt
 from matchlake.plans.checks import check
 from matchlake.plans.tables import Tables
-from matchlake.session import checkpoint_dir
 from matchlake.sources.documents import split_documents
 from matchlake.sources.people import clean_people
 from matchlake.sources.snapshots import rebuild, restore, snapshot
 
 
-def scratch(t: Tables) -> str:
-    """A new folder below the one all executors share."""
-    return f"{checkpoint_dir(t.spark)}/matchlake-{uuid.uuid4().hex}"
-
-
 @check("src_json_dir", """
 WITH raw AS (SELECT event_id, CASE WHEN event_type = 'error' THEN substr(props, 1, 5) ELSE props END AS document FROM events)
 SELECT event_id AS id, json_valid(document) AS readable,
@@ -169,7 +161,7 @@ def _(t: Tables):
 SELECT 'brands' AS table_name, count(DISTINCT p_brand) AS n, CAST(sum(DISTINCT length(p_brand)) AS BIGINT) AS checksum FROM part
 UNION ALL SELECT 'teams', count(*), CAST(sum(DISTINCT length(n_name)) AS BIGINT) FROM nation""")
 def _(t: Tables):
-    folder = scratch(t)
+    folder = t.scratch()
     tables = {
         "brands": mt.assign_key(t.part.select(F.col("p_brand").alias("name")), ["name"], "id"),
         "teams": mt.assign_key(t.nation.select(F.col("n_name").alias("name")), ["name"], "id"),
@@ -188,6 +180,6 @@ def _(t: Tables):
 
 @check("snapshot_restore", "SELECT * FROM customer")
 def _(t: Tables):
-    folder = scratch(t)
+    folder = t.scratch()
     path = snapshot(t.customer, folder, "customer")
     return restore(t.spark, path, f"{folder}/customer")

@@ -39,7 +39,7 @@ SELECT CAST(doc_id AS VARCHAR) AS match_id, {_SEASON} AS season_year,
 FROM good JOIN venues ON venue_name = source || ' ground' JOIN teams h ON h.team_name = 'Home ' || lang
 JOIN teams a ON a.team_name = 'Away ' || source""")
 def _(t: Tables):
-    return nm.matches(t.good_docs, t.teams, t.venues)
+    return nm.matches(t.stored_docs, t.teams, t.venues)
 
 
 @check("parse_season", f"SELECT CAST(doc_id AS VARCHAR) AS match_id, {_SEASON} AS season_year FROM documents")
@@ -76,7 +76,7 @@ SELECT CAST(p.doc_id AS VARCHAR) AS match_id, who AS player_identifier, team_id
 FROM (SELECT doc_id, lang, source, who, min(side) AS side FROM people GROUP BY ALL) p
 JOIN teams ON team_name = CASE side WHEN 1 THEN 'Home ' || lang ELSE 'Away ' || source END""")
 def _(t: Tables):
-    return nm.match_players(t.good_docs, t.teams)
+    return nm.match_players(t.stored_docs, t.teams)
 
 
 @check("norm_awards", TEXT_VIEWS + """
@@ -105,7 +105,7 @@ SELECT p.doc_id * 100 + inning_number AS inning_id, CAST(p.doc_id AS VARCHAR) AS
 FROM parts p JOIN teams h ON h.team_name = 'Home ' || lang JOIN teams a ON a.team_name = 'Away ' || source
 WHERE p.doc_id NOT IN (SELECT doc_id FROM bad)""")
 def _(t: Tables):
-    return nm.innings(t.good_docs, t.teams)
+    return nm.innings(t.stored_docs, t.teams)
 
 
 @check("norm_powerplays", TEXT_VIEWS + """
@@ -156,7 +156,7 @@ SELECT match_id, delivery_id, inning_id, CASE WHEN size = 13 THEN 'match' ELSE '
        CASE WHEN size = 13 THEN 'rule' ELSE 'injury' END AS reason, CAST(NULL AS BIGINT) AS team_id
 FROM seq WHERE size IN (13, 14)""")
 def _(t: Tables):
-    return nm.replacements(t.good_docs, t.teams)
+    return nm.replacements(t.stored_docs, t.teams)
 
 
 @check("norm_quarantine", TEXT_VIEWS + """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,8 @@ from matchlake.fixed_values import UNCREDITED_KINDS
 from matchlake.operators.maintain import assign_key
 from matchlake.operators.normalise import split_valid, teams, venues
 from matchlake.plans.text_matches import match_documents
-from matchlake.session import configure
+from matchlake.session import checkpoint_dir, configure, cut_lineage
+from matchlake.sources.snapshots import write_table
 
 
 class Tables:
@@ -88,14 +90,27 @@ class Tables:
         """The match documents that load."""
         return split_valid(self.match_docs)[0]
 
+    def scratch(self) -> str:
+        """A new folder below the one that all executors share."""
+        return f"{checkpoint_dir(self.spark)}/matchlake-{uuid.uuid4().hex}"
+
+    @cached_property
+    def stored_docs(self) -> DataFrame:
+        """The match documents that load, written once as a table, as a load does before it makes several tables."""
+        path = self.scratch()
+        write_table(self.good_docs, path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def teams(self) -> DataFrame:
-        return assign_key(teams(self.good_docs), ["team_name"], "team_id")
+        """The team dimension, written once: the tables of the matches look it up many times."""
+        return cut_lineage(assign_key(teams(self.stored_docs), ["team_name"], "team_id"))
 
     @cached_property
     def venues(self) -> DataFrame:
-        named = venues(self.good_docs)
-        return named.join(assign_key(named, ["venue_name"], "venue_id"), "venue_name")
+        """The venue dimension, written once."""
+        named = cut_lineage(venues(self.stored_docs))
+        return cut_lineage(named.join(assign_key(named, ["venue_name"], "venue_id"), "venue_name"))
 
     @cached_property
     def season_balls(self) -> DataFrame:
