@@ -21,7 +21,7 @@ def short_name(full_name: Column, pairs: bool = False) -> Column:
         name = F.when((F.size(words) > 3) & F.lower(two).isin(NAME_PARTICLE_PAIRS), F.concat_ws(" ", first, two, last)).when(
             F.lower(before).isin(NAME_PARTICLES), F.concat_ws(" ", first, before, last)
         )
-    return F.when(F.size(words) <= 2, full_name).otherwise(name.otherwise(F.concat_ws(" ", first, last)))
+    return F.when(full_name.isNull() | (F.size(words) <= 2), full_name).otherwise(name.otherwise(F.concat_ws(" ", first, last)))
 
 
 def searchable(*parts: Column) -> Column:

@@ -24,7 +24,7 @@ def file_rows(df: DataFrame) -> DataFrame:
 
 def stage_documents(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """All ``*.json`` files of a folder as (id, document): the readable ones and the malformed ones."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(folder)
+    files = spark.read.text(folder, wholetext=True, pathGlobFilter="*.json")
     return split_documents(file_rows(files))
 
 
