@@ -1,4 +1,4 @@
-"""Keeping expensive expressions from being computed more than once."""
+"""Keeping expensive expressions from being computed more than once, or in one place."""
 
 from __future__ import annotations
 
@@ -13,3 +13,12 @@ def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     JSON parse or a long array expression many times over. A one-element explode ends that.
     """
     return df.select(*[c for c in df.columns if c != name], F.explode_outer(F.array(value)).alias(name))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Distribute rows by ``key`` where the files give fewer pieces than there are cores.
+
+    For long per-row work on compact files; large inputs come in enough pieces and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from matchlake.fixed_values import UNCREDITED_KINDS
 from matchlake.functions.matches import outcome_cols, present, season_col
+from matchlake.functions.plan import with_once
 from matchlake.operators.maintain import (
     BALLS_PER_OVER, INNINGS_PER_MATCH, OVERS_PER_INNINGS, WICKETS_PER_BALL, attach_key, delivery_key, inning_key,
     wicket_key,
@@ -203,13 +204,14 @@ def _ball_rows(docs: DataFrame) -> DataFrame:
         "over_place", F.col("over.over").alias("over_number"),
         F.posexplode("over.deliveries").alias("ball_place", "ball"),
     )
-    named = balls.select(
-        "*",
+    people = F.struct(
+        _person(F.col("ball.batter")).alias("batter"), _person(F.col("ball.bowler")).alias("bowler"),
+        _person(F.col("ball.non_striker")).alias("non_striker"),
+    )
+    named = with_once(balls, "people", people).select(
+        "*", "people.*",
         (F.col("ball_place") + 1).alias("ball_number"),
         delivery_key(F.col("inning_id"), F.col("over_place"), F.col("ball_place") + 1).alias("delivery_id"),
-        _person(F.col("ball.batter")).alias("batter"),
-        _person(F.col("ball.bowler")).alias("bowler"),
-        _person(F.col("ball.non_striker")).alias("non_striker"),
     )
     return named.dropna(subset=["batter", "bowler", "non_striker"])
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from matchlake.functions.plan import spread
 from matchlake.operators import shaping as sh
 from matchlake.operators.profiling import profile
 from matchlake.operators.vetting import vet
@@ -345,7 +346,8 @@ def _(t: Tables):
         .when(k == 4, F.concat(F.lit("Select 1 -- "), text)).when(k == 5, text)
         .otherwise(F.concat(F.lit("SELECT 1 FROM x\nDROP\n"), text))
     )
-    return vet(t.documents.select("doc_id", raw.alias("raw")), "raw").select(
+    texts = spread(t.documents, "doc_id")
+    return vet(texts.select("doc_id", raw.alias("raw")), "raw").select(
         "doc_id", F.md5("query").alias("query_md5"), "reason", "accepted"
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.fixed_values import UNCREDITED_KINDS
+from matchlake.functions.plan import spread
 from matchlake.operators.maintain import assign_key
 from matchlake.operators.normalise import split_valid, teams, venues
 from matchlake.plans.text_matches import match_documents
@@ -83,7 +84,7 @@ class Tables:
     @cached_property
     def match_docs(self) -> DataFrame:
         """One row per text: a nested match document, already typed."""
-        return match_documents(self.read("documents"))
+        return match_documents(spread(self.read("documents"), "doc_id"))
 
     @cached_property
     def good_docs(self) -> DataFrame:
