@@ -199,10 +199,10 @@ def _ball_rows(docs: DataFrame) -> DataFrame:
         "match_id", "season_year", "inning_id", "inning_number", "is_super_over", "batting_team", "registry",
         F.posexplode("inning.overs").alias("over_place", "over"),
     )
-    balls = overs.select(
-        "match_id", "season_year", "inning_id", "inning_number", "is_super_over", "batting_team", "registry",
-        "over_place", F.col("over.over").alias("over_number"),
-        F.posexplode("over.deliveries").alias("ball_place", "ball"),
+    # The list is a column of its own before it is exploded, so that a ball does not carry its whole over along.
+    lists = overs.withColumn("over_number", F.col("over.over")).withColumn("list", F.col("over.deliveries")).drop("over")
+    balls = lists.select(
+        *[c for c in lists.columns if c != "list"], F.posexplode("list").alias("ball_place", "ball")
     )
     people = F.struct(
         _person(F.col("ball.batter")).alias("batter"), _person(F.col("ball.bowler")).alias("bowler"),

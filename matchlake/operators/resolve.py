@@ -305,32 +305,32 @@ _LOST_PAIRS = 0.54
 
 
 def _token_candidates(terms: DataFrame, names: DataFrame) -> DataFrame:
-    """Pairs (term, names_id) that can reach the threshold: they share a word, or one of the letter pairs of the shorter
-    text that cannot all be lost. The rarest of those are asked for, so common pairs do not blow up the join."""
+    """Pairs (term, names_id) that can reach the threshold.
+
+    Such a pair keeps more than the losable share of the letter pairs inside the words of one of the two texts, so it
+    shares one of any larger choice of them. The rarest are chosen, so that a common word or letter pair does not bring
+    everybody together. A text with too few letter pairs (initials) is looked up by its words instead.
+    """
     term_grams = _by_rarity(terms, "term", F.concat(ngrams(F.col("term"), 2), ngrams(F.col("term"), 1)))
     texts = names.select("names_id", F.explode(F.array_distinct(F.array("words", "full", "uniq"))).alias("text")).where("text <> ''")
     text_grams = _by_rarity(texts, "text", F.concat(ngrams(F.col("text"), 2), ngrams(F.col("text"), 1)))
 
-    def pairs_only(g: Column, name: str) -> Column:
-        return F.filter(g, lambda x: (F.length(x["gram"]) == 2) | (F.length(name) == 1))
+    def marked(mark: str, values: Column) -> Column:
+        return F.transform(values, lambda v: F.concat(F.lit(mark), v))
 
-    def rare(g: Column, name: str) -> Column:
+    def keys(name: str, own: str, other: str) -> Column:
+        """Keys by which this text looks for others (``own``) and by which others find it (``other``)."""
+        every = F.transform("grams", lambda x: x["gram"])
+        inside = F.filter(every, lambda g: ((F.length(g) == 2) & ~F.contains(g, F.lit(" "))) | (F.length(name) == 1))
         count = F.floor(F.length(name) * F.lit(_LOST_PAIRS)).cast("int") + 1
-        return F.transform(F.slice(pairs_only(g, name), F.lit(1), count), lambda x: x["gram"])
-
-    def keys(own: Column, every: Column, words: Column, first: str, second: str) -> Column:
+        words = F.split(name, " ")
+        too_few = F.when(F.size(inside) < count, marked(own + "w", words)).otherwise(F.array().cast("array<string>"))
         return F.concat(
-            F.transform(own, lambda g: F.concat(F.lit(first), g)), F.transform(every, lambda g: F.concat(F.lit(second), g)),
-            F.transform(words, lambda w: F.concat(F.lit("w:"), w)),
+            marked(own, F.slice(inside, F.lit(1), count)), too_few, marked(other, every), marked(other + "w", words)
         )
 
-    every = F.transform("grams", lambda x: x["gram"])
-    asked = term_grams.select(
-        "term", F.explode(keys(rare(F.col("grams"), "term"), every, F.split("term", " "), "t:", "n:")).alias("key")
-    )
-    offered = text_grams.select(
-        "text", F.explode(keys(rare(F.col("grams"), "text"), every, F.split("text", " "), "n:", "t:")).alias("key")
-    )
+    asked = term_grams.select("term", F.explode(keys("term", "t:", "n:")).alias("key"))
+    offered = text_grams.select("text", F.explode(keys("text", "n:", "t:")).alias("key"))
     found = asked.join(offered, "key").select("term", "text").distinct()
     return found.join(texts, "text").select("term", "names_id").distinct()
 

@@ -29,7 +29,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a local one only where none is set and the master is local."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
