@@ -12,6 +12,7 @@ from matchlake.fixed_values import (
     TEXT_ATTRIBUTES, UNKNOWN, UNKNOWN_BIRTH_DATE,
 )
 from matchlake.functions.names import short_name
+from matchlake.functions.plan import with_once
 from matchlake.operators.maintain import upsert
 from matchlake.operators.ranking import batches
 from matchlake.operators.vetting import strip_fences
@@ -100,10 +101,10 @@ def parse_replies(df: DataFrame, reply: str, schema: str, many: bool = False) ->
 
     Rejected is what is no JSON, or no array where ``many`` rows are asked for, or no object otherwise.
     """
-    bare = df.withColumn("_text", strip_fences(F.col(reply), "json"))
+    bare = with_once(df, "_text", strip_fences(F.col(reply), "json"))
     fits = F.try_parse_json("_text").isNotNull() & F.col("_text").startswith("[" if many else "{")
-    judged = bare.withColumn("_fits", F.coalesce(fits, F.lit(False)))
-    good = judged.where("_fits").withColumn("parsed", F.from_json("_text", schema)).drop("_fits", "_text")
+    judged = with_once(bare, "_fits", F.coalesce(fits, F.lit(False)))
+    good = with_once(judged.where("_fits"), "parsed", F.from_json("_text", schema)).drop("_fits", "_text")
     return good, judged.where("NOT _fits").drop("_fits", "_text")
 
 

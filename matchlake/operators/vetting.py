@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.fixed_values import BLOCKED_WORDS
+from matchlake.functions.plan import with_once
 
 
 def _bare(text: Column) -> Column:
@@ -44,6 +45,5 @@ def reason(query: Column) -> Column:
 
 def vet(df: DataFrame, text: str) -> DataFrame:
     """Add ``query`` (without fences), ``accepted`` and ``reason``."""
-    return df.withColumn("query", strip_fences(F.col(text))).withColumn("reason", reason(F.col("query"))).withColumn(
-        "accepted", F.col("reason").isNull()
-    )
+    bare = with_once(df, "query", strip_fences(F.col(text)))
+    return with_once(bare, "reason", reason(F.col("query"))).withColumn("accepted", F.col("reason").isNull())

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.functions.names import short_name
+from matchlake.functions.plan import spread
 from matchlake.operators import enrich as en
 from matchlake.plans.checks import check
 from matchlake.plans.tables import Tables
@@ -176,7 +177,7 @@ def timing_replies(t: Tables) -> DataFrame:
         inning.alias("innings_1"),
     )
     text = F.concat(F.lit("```json\n"), F.to_json(F.array(game)), F.lit("\n```"))
-    return en.parse_timing_replies(t.events.select(text.alias("reply")))[0]
+    return en.parse_timing_replies(spread(t.events, "event_id").select(text.alias("reply")))[0]
 
 
 @check("build_timings", """
