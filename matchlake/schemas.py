@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# The columns of the people file as it is now (reading it goes by its header).
 PEOPLE_COLUMNS = [
     "identifier", "name", "unique_name", "key_bcci", "key_bcci_2", "key_bigbash", "key_cricbuzz", "key_cricheroes",
     "key_crichq", "key_cricinfo", "key_cricinfo_2", "key_cricinfo_3", "key_cricingif", "key_cricketarchive",
