@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import chat, mixing
+from matchlake.llm import chat, mixing, prefix_join
 from matchlake.llm.check_sql import CHECK_SQL
 
 __all__ = ["CHECK_SQL", "QUERIES"]
@@ -31,7 +31,13 @@ def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op6_prefix_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes of documents that share three quarters of their five-word shingles."""
+    return prefix_join.near_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_format": op2_chat_format,
     "op3_source_mix": op3_source_mix,
+    "op6_prefix_join": op6_prefix_join,
 }
