@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import chat, mixing, prefix_join
+from matchlake.llm import chat, mixing, ppm, prefix_join
 from matchlake.llm.check_sql import CHECK_SQL
 
 __all__ = ["CHECK_SQL", "QUERIES"]
@@ -17,6 +17,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def remainder(divisor: int) -> Column:
+    """What crc32 of a doc_id as text leaves of ``divisor``; a NULL doc_id counts as empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(divisor))
+
+
 def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations, and one whose texts hold control strings, formatted and read back."""
     tricky = spark.range(2).selectExpr(
@@ -36,8 +41,15 @@ def op6_prefix_join(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_join.near_duplicates(table(spark, folder, "documents"))
 
 
+def op10_ppm_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document by code length; a quarter of them is held out from learning."""
+    docs, held_out = table(spark, folder, "documents"), remainder(4) == 2
+    return ppm.identify(docs, ~held_out).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_format": op2_chat_format,
     "op3_source_mix": op3_source_mix,
     "op6_prefix_join": op6_prefix_join,
+    "op10_ppm_language": op10_ppm_language,
 }
