@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import chat, mixing, ppm, prefix_join
+import corpus_pipeline
+from matchlake.llm import (
+    chat, embedding_dedup, main_text, mixing, packing, ppm, prefix_join, quality, secrets, toxicity,
+)
 from matchlake.llm.check_sql import CHECK_SQL
 
 __all__ = ["CHECK_SQL", "QUERIES"]
@@ -22,6 +25,13 @@ def remainder(divisor: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(divisor))
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of every document; labels of a fifth are held out from learning."""
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(toxicity.labelled_sample(docs, table(spark, folder, "labels"), remainder(5) != 0))
+    return toxicity.score(docs, model).select("doc_id", (remainder(5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations, and one whose texts hold control strings, formatted and read back."""
     tricky = spark.range(2).selectExpr(
@@ -36,11 +46,38 @@ def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op4_quality_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """Base rules and distance from its language's references of every document."""
+    docs = table(spark, folder, "documents")
+    return quality.judge(docs, quality.references(docs))
+
+
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The secrets in every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return secrets.digest(secrets.find(docs, secrets.learn(docs)))
+
+
 def op6_prefix_join(spark: SparkSession, folder: str) -> DataFrame:
     """Classes of documents that share three quarters of their five-word shingles."""
     return prefix_join.near_duplicates(table(spark, folder, "documents"))
 
 
+def op7_sign_hash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes of vectors with a cosine of 0.98 or more within a label."""
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
+def op8_text_density(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return main_text.extract(table(spark, folder, "pages"))
+
+
+def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into bins; a bin never holds two texts of the same words."""
+    return packing.pack(table(spark, folder, "documents"))
+
+
 def op10_ppm_language(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document by code length; a quarter of them is held out from learning."""
     docs, held_out = table(spark, folder, "documents"), remainder(4) == 2
@@ -48,8 +85,9 @@ def op10_ppm_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_chat_format": op2_chat_format,
-    "op3_source_mix": op3_source_mix,
-    "op6_prefix_join": op6_prefix_join,
-    "op10_ppm_language": op10_ppm_language,
-}
+    query.__name__: query
+    for query in (
+        op1_toxicity, op2_chat_format, op3_source_mix, op4_quality_divergence, op5_secret_scan, op6_prefix_join, op7_sign_hash_dedup,
+        op8_text_density, op9_best_fit_packing, op10_ppm_language,
+    )
+} | {"pipeline": corpus_pipeline.run}

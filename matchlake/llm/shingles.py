@@ -62,9 +62,9 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.searchsorted(offsets, starts, "right") - 1, starts, ends
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of each word, A-Z taken as a-z."""
-    lower = data + np.where((data >= 65) & (data <= 90), np.uint8(32), np.uint8(0))
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold_case: bool = True) -> np.ndarray:
+    """A hash of each word, A-Z taken as a-z unless ``fold_case`` is false."""
+    lower = data + np.where((data >= 65) & (data <= 90), np.uint8(32), np.uint8(0)) if fold_case else data
     summed = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((lower.astype(np.uint64) + np.uint64(1)) * _power("up", len(data))[: len(data)], out=summed[1:])
     values = (summed[ends] - summed[starts]) * _power("down", len(data) + 1)[starts]
