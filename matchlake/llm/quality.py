@@ -21,7 +21,7 @@ COMMON_SHARE = 0.004
 #: Languages with fewer words in all have no reference; their documents are only held to the base rules.
 LEAST_LANGUAGE_WORDS = 5000
 LEAST_CHARS, LEAST_WORDS = 200, 100
-FARTHEST_CHARS, FARTHEST_WORDS = 0.30, 0.60
+FARTHEST_CHARS, FARTHEST_WORDS = 0.25, 0.33
 WINDOW = 5
 FEWEST_WORDS = 10
 CLASSES = 8

@@ -1,8 +1,10 @@
 """Toxicity: a logistic classifier over words, regularised by counterfactuals.
 
-Labelled texts are learned from by the set of their words. Where a text names a group, the same text with the group's
+Labelled texts are learned from by the set of their words and of the beginnings of these, since one insult comes with many
+endings. Where a text names a group, the same text with the group's
 term swapped for every other of its kind is a counterfactual, and training penalises the squared change of the text's
-logit, so that naming a group does not move a score by itself. A lasso penalty leaves only words that matter.
+logit, so that naming a group does not move a score by itself. Words that toxic and other texts hold alike are screened out
+first, and a lasso penalty leaves of the others only what matters.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from matchlake.llm import shingles
 
 #: About so many labelled documents are learned from at most, picked by a hash of their id.
-LEARNED_DOCS = 8000
+LEARNED_DOCS = 6000
 #: Terms for groups of people, by kind; one is swapped for the others of its kind.
 IDENTITY_TERMS = (
     ("women", "men", "girls", "boys", "female", "male"),
@@ -27,19 +29,28 @@ IDENTITY_TERMS = (
     ("frauen", "männer"), ("muslime", "christen", "juden"), ("femmes", "hommes"), ("musulmans", "chrétiens", "juifs"),
     ("mujeres", "hombres"), ("musulmanes", "cristianos", "judíos"),
 )
-LASSO = 0.002
+LASSO = 0.0005
 COUNTERFACTUAL = 1.0
 LEAST_DOCS = 3
-STEPS = 400
+#: A word goes on if its toxic texts are so many standard deviations from what chance gives.
+LEAST_DEVIATION = 3.0
+STEPS = 300
+#: Beginnings of so many bytes stand for a longer word beside the word itself.
+BEGINNINGS = (4, 5, 6, 7, 8)
 
 
 def _word_sets(texts: pa.Array):
-    """Of runs of rows: first and last row, and their distinct words as parallel arrays (row, hash)."""
+    """Of runs of rows: first and last row, and their distinct words and beginnings as parallel arrays (row, hash)."""
     for first, last, data, offsets in shingles.slices(texts):
         letter = (data >= 128) | ((data >= 48) & (data <= 57)) | ((data >= 65) & (data <= 90)) | ((data >= 97) & (data <= 122))
         plain = np.where(letter, data, np.uint8(32))
         row, starts, ends = shingles.words(plain, offsets)
-        token = shingles.word_hashes(plain, starts, ends)
+        rows, tokens = [row], [shingles.word_hashes(plain, starts, ends)]
+        for size in BEGINNINGS:
+            longer = ends - starts > size
+            rows.append(row[longer])
+            tokens.append(shingles.word_hashes(plain, starts[longer], starts[longer] + size) ^ np.uint64(size))
+        row, token = np.concatenate(rows), np.concatenate(tokens)
         order = np.lexsort((token, row))
         row, token = row[order], token[order]
         new = np.ones(len(row), bool)
@@ -51,9 +62,9 @@ def _identity_hashes() -> list[np.ndarray]:
     """The hash of each term, by kind."""
     words = [w for kind in IDENTITY_TERMS for w in kind]
     token = {}
-    for k, word in enumerate(words):
-        ((_, _, _, hashes),) = _word_sets(pa.array([word]))
-        token[word] = hashes[0]
+    for word in words:
+        data = np.frombuffer(word.encode(), np.uint8)
+        token[word] = shingles.word_hashes(data, np.array([0]), np.array([len(data)]))[0]
     return [np.array([token[w] for w in kind], np.uint64) for kind in IDENTITY_TERMS]
 
 
@@ -92,12 +103,15 @@ def fit(sample: DataFrame, lasso: float = LASSO, counterfactual: float = COUNTER
         return none
     y = table.column("toxic").to_numpy().astype(np.float64)
     blobs = [np.frombuffer(b, np.uint64) for b in table.column("words").to_pylist()]
-    words, n = np.unique(np.concatenate(blobs), return_counts=True)
+    every = np.concatenate(blobs)
+    row = np.repeat(np.arange(len(blobs)), [len(b) for b in blobs])
+    words, at, n = np.unique(every, return_inverse=True, return_counts=True)
+    toxic, rate = np.bincount(at, y[row], minlength=len(words)), y.mean()
+    chance = np.sqrt(np.maximum(n * rate * (1 - rate), 1e-9))
+    told = (n >= LEAST_DOCS) & (np.abs(toxic - n * rate) >= LEAST_DEVIATION * chance)
     kinds = _identity_hashes()
     # Terms are features even where they are rare, so that a swap to a term never seen is felt.
-    words = np.union1d(words[n >= LEAST_DOCS], np.concatenate(kinds))
-    row = np.repeat(np.arange(len(blobs)), [len(b) for b in blobs])
-    every = np.concatenate(blobs)
+    words = np.union1d(words[told], np.concatenate(kinds))
     at = np.minimum(np.searchsorted(words, every), len(words) - 1)
     kept = words[at] == every
     row, col = row[kept], at[kept]
