@@ -30,6 +30,8 @@ LEARNED_DOCS = 4096
 LEAST_RATIO, LEAST_PER_PAIR = 10.0, 0.6
 #: A run of fewer different characters is a rule or a filler, not a secret.
 LEAST_KINDS = 8
+#: The chance of a character alone weighs as much as so many pairs.
+WEIGHT_ALONE = 8.0
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _CODES = 128
 
@@ -47,29 +49,33 @@ def _pairs(text: Column) -> Column:
 def learn(docs: DataFrame, learned_docs: int = LEARNED_DOCS) -> list[float]:
     """Log-likelihood ratios of character pairs, by 128 times the first character's code plus the second's.
 
-    Labelled samples come from about ``learned_docs`` documents: values that the base patterns find are random strings,
-    all other words of six characters or more are identifiers. Pairs are counted in Spark; a table of at most 67 x 67
-    pairs and two classes is fetched. Half a count is added to every pair. Without documents every ratio is 0.
+    Labelled samples come from about ``learned_docs`` documents: values that the base patterns find are random strings, and so
+    is the base64 of each id's digest; all other words of six characters or more are identifiers. Pairs are counted in Spark; a table of at most 67 x 67
+    pairs and two classes is fetched. A pair's chance is smoothed by that of its second character alone. Without documents every ratio is 0.
     """
     share = min(1.0, learned_docs / max(1, docs.count()))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("secrets")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    text = docs.where((draw < share) & F.col("text").isNotNull()).select("text")
+    text = docs.where((draw < share) & F.col("text").isNotNull()).select("doc_id", "text")
+    digest_of_id = F.base64(F.unhex(F.sha2(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"), 256)))
     values = F.concat(
         F.filter(F.transform(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(0)), _value), lambda v: F.length(v) >= 12),
         F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)), F.regexp_extract_all("text", F.lit(HEX), F.lit(0)),
     )
     rest = F.regexp_replace("text", f"{ASSIGN}|{ACCESS}|{HEX}", " ")
-    samples = text.select(F.lit(1).alias("is_random"), F.explode(values).alias("word")).unionByName(
+    samples = text.select(F.lit(1).alias("is_random"), F.explode(F.concat(values, F.array(digest_of_id))).alias("word")).unionByName(
         text.select(F.lit(0).alias("is_random"), F.explode(F.regexp_extract_all(rest, F.lit("[A-Za-z0-9+/_=-]{6,}"), F.lit(0))).alias("word")))
     counted = samples.groupBy("is_random", "word").count().select("is_random", "count", F.explode(_pairs(F.col("word"))).alias("pair"))
     rows = counted.where(F.col("pair").rlike("^[A-Za-z0-9+/_=-]{2}$")).groupBy("is_random", "pair").agg(F.sum("count").alias("n")).collect()
-    n, total = {}, {}
+    n, total, single, all_n = {}, {}, {}, {0: 0, 1: 0}
     for r in rows:
         n[r["is_random"], r["pair"]] = r["n"]
         total[r["is_random"], r["pair"][0]] = total.get((r["is_random"], r["pair"][0]), 0) + r["n"]
+        single[r["is_random"], r["pair"][1]] = single.get((r["is_random"], r["pair"][1]), 0) + r["n"]
+        all_n[r["is_random"]] += r["n"]
 
     def log_chance(kind: int, a: str, b: str) -> float:
-        return math.log((n.get((kind, a + b), 0) + 0.5) / (total.get((kind, a), 0) + 0.5 * len(_ALPHABET)))
+        alone = (single.get((kind, b), 0) + 0.5) / (all_n[kind] + 0.5 * len(_ALPHABET))
+        return math.log((n.get((kind, a + b), 0) + WEIGHT_ALONE * alone) / (total.get((kind, a), 0) + WEIGHT_ALONE))
 
     ratios = [0.0] * (_CODES * _CODES)
     for a in _ALPHABET:

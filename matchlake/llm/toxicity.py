@@ -58,14 +58,17 @@ def _word_sets(texts: pa.Array):
         yield first, last, row[new], token[new]
 
 
-def _identity_hashes() -> list[np.ndarray]:
-    """The hash of each term, by kind."""
-    words = [w for kind in IDENTITY_TERMS for w in kind]
-    token = {}
-    for word in words:
-        data = np.frombuffer(word.encode(), np.uint8)
-        token[word] = shingles.word_hashes(data, np.array([0]), np.array([len(data)]))[0]
-    return [np.array([token[w] for w in kind], np.uint64) for kind in IDENTITY_TERMS]
+def _identity_hashes() -> tuple[list[np.ndarray], np.ndarray]:
+    """The hash of each term, by kind, and the hashes of the terms' beginnings."""
+    kinds, beginnings = [], [np.zeros(0, np.uint64)]
+    for kind in IDENTITY_TERMS:
+        own = []
+        for _, _, _, token in _word_sets(pa.array(kind)):
+            datas = [np.frombuffer(w.encode(), np.uint8) for w in kind]
+            own = np.array([shingles.word_hashes(d, np.array([0]), np.array([len(d)]))[0] for d in datas], np.uint64)
+            beginnings.append(np.setdiff1d(token, own))
+        kinds.append(own)
+    return kinds, np.concatenate(beginnings)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, may_learn: Column, learned_docs: int = LEARNED_DOCS) -> DataFrame:
@@ -109,7 +112,9 @@ def fit(sample: DataFrame, lasso: float = LASSO, counterfactual: float = COUNTER
     toxic, rate = np.bincount(at, y[row], minlength=len(words)), y.mean()
     chance = np.sqrt(np.maximum(n * rate * (1 - rate), 1e-9))
     told = (n >= LEAST_DOCS) & (np.abs(toxic - n * rate) >= LEAST_DEVIATION * chance)
-    kinds = _identity_hashes()
+    kinds, beginnings = _identity_hashes()
+    # A term counts as a whole word only, or its beginnings would keep what a swap takes out.
+    told &= ~np.isin(words, beginnings)
     # Terms are features even where they are rare, so that a swap to a term never seen is felt.
     words = np.union1d(words[told], np.concatenate(kinds))
     at = np.minimum(np.searchsorted(words, every), len(words) - 1)
