@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.llm import shingles
+from matchlake.llm.storing import stored
 
 #: About so many labelled documents are learned from at most, picked by a hash of their id.
 LEARNED_DOCS = 6000
@@ -97,29 +98,47 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, may_learn: Column, learn
     return texts.mapInArrow(sets, "doc_id long, toxic int, words binary").groupBy("doc_id", "toxic").agg(F.max("words").alias("words"))
 
 
+def vocabulary(sample: DataFrame) -> np.ndarray:
+    """Hashes, sorted, of the words and beginnings that toxic and other texts of ``sample`` do not hold alike, and of all
+    identity terms. Tasks count; only what passes is fetched."""
+    def count(batches):
+        for batch in batches:
+            blobs = [np.frombuffer(b.as_buffer(), np.uint64) for b in batch.column(1)]
+            token, at, n = np.unique(np.concatenate(blobs), return_inverse=True, return_counts=True)
+            toxic = np.bincount(at, np.repeat(batch.column(0).to_numpy(), [len(b) for b in blobs]), minlength=len(token))
+            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(toxic.astype(np.int64))], ["token", "n", "toxic"])
+
+    kinds, beginnings = _identity_hashes()
+    totals = sample.agg(F.count("*").alias("docs"), F.avg("toxic").alias("rate")).first()
+    if not totals["docs"]:
+        return np.zeros(0, np.uint64)
+    counted = sample.select("toxic", "words").mapInArrow(count, "token long, n long, toxic long").groupBy("token").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+    rate = F.lit(totals["rate"])
+    told = (F.col("n") >= LEAST_DOCS) & (F.abs(F.col("toxic") - F.col("n") * rate) >= LEAST_DEVIATION * F.sqrt(F.col("n") * rate * (1 - rate)))
+    words = counted.where(told).select("token").toArrow().column(0).to_numpy().view(np.uint64)
+    # A term counts as a whole word only, or its beginnings would keep what a swap takes out. Terms are features even where
+    # they are rare, so that a swap to a term never seen is felt.
+    return np.union1d(np.setdiff1d(words, beginnings), np.concatenate(kinds))
+
+
 def fit(sample: DataFrame, lasso: float = LASSO, counterfactual: float = COUNTERFACTUAL, steps: int = STEPS) -> dict:
     """Words with a weight (sorted hashes), their weights, and the bias; fitted on the bounded sample by accelerated
     proximal gradient steps. Without labelled rows there is no word, and every score is 0."""
-    table = sample.orderBy("doc_id", "toxic").toArrow()
-    none = {"words": np.zeros(0, np.uint64), "weights": np.zeros(0), "bias": -np.inf}
-    if not len(table):
-        return none
+    sample = stored(sample)
+    words = vocabulary(sample)
+    if not len(words):
+        return {"words": words, "weights": np.zeros(0), "bias": -np.inf}
+
+    def features(batches):
+        for batch in batches:
+            held = [np.flatnonzero(np.isin(words, np.frombuffer(b.as_buffer(), np.uint64))).astype(np.int32) for b in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(held, pa.list_(pa.int32()))], ["doc_id", "toxic", "held"])
+
+    table = sample.select("doc_id", "toxic", "words").mapInArrow(features, "doc_id long, toxic int, held array<int>").orderBy("doc_id", "toxic").toArrow().combine_chunks()
     y = table.column("toxic").to_numpy().astype(np.float64)
-    blobs = [np.frombuffer(b, np.uint64) for b in table.column("words").to_pylist()]
-    every = np.concatenate(blobs)
-    row = np.repeat(np.arange(len(blobs)), [len(b) for b in blobs])
-    words, at, n = np.unique(every, return_inverse=True, return_counts=True)
-    toxic, rate = np.bincount(at, y[row], minlength=len(words)), y.mean()
-    chance = np.sqrt(np.maximum(n * rate * (1 - rate), 1e-9))
-    told = (n >= LEAST_DOCS) & (np.abs(toxic - n * rate) >= LEAST_DEVIATION * chance)
-    kinds, beginnings = _identity_hashes()
-    # A term counts as a whole word only, or its beginnings would keep what a swap takes out.
-    told &= ~np.isin(words, beginnings)
-    # Terms are features even where they are rare, so that a swap to a term never seen is felt.
-    words = np.union1d(words[told], np.concatenate(kinds))
-    at = np.minimum(np.searchsorted(words, every), len(words) - 1)
-    kept = words[at] == every
-    row, col = row[kept], at[kept]
+    held = [np.asarray(h, np.int64) for h in table.column("held").to_pylist()]
+    row, col, rate = np.repeat(np.arange(len(held)), [len(h) for h in held]), np.concatenate(held), y.mean()
+    kinds, _ = _identity_hashes()
 
     # A swap takes one term out and puts another in.
     out_term, in_term = [], []

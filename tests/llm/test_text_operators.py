@@ -74,8 +74,8 @@ SECRETS = ODD + [
 
 
 def test_secrets(spark):
-    ordinary = ["The Class_Name of Http2Server and WorldMap, XmlReader Quick Judge Vex Zone Yard Kilo Lima Nord Oslo Ulm Berlin Delta Echo Fox Golf Item "
-                "the ordinary_identifier of some_longer_variable_name and internationalization_of_the_configuration " * 5] * 600
+    ordinary = [" ".join(f"{a}{b}Item" for a in "Quick Judge Vex Zone Yard Kilo Lima Nord Tall Pile World Map Golf Door Class Rock Xylo".split() for b in ("", 1, 3, 4, 5, 7, 8, 9)) + " "
+                "the ordinary_identifier of some_longer_variable_name and internationalization_of_the_configuration " * 5] * 300
     docs = docs_of(spark, SECRETS + ordinary)
     found = secrets.find(docs, secrets.learn(docs)).cache()
     for r in found.collect():
