@@ -16,9 +16,5 @@ def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Distribute rows by ``key`` where the files give fewer pieces than there are cores.
-
-    For long per-row work on compact files; large inputs come in enough pieces and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    """Distribute rows by ``key`` over the session's shuffle partitions, for long per-row work on compact files."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)

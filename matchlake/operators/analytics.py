@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlake.fixed_values import DEFAULT_ROWS, MAX_ROWS, UNCREDITED_KINDS_NARROW
 from matchlake.functions.numbers import ratio, whole_div
-from matchlake.operators.ranking import null_safe_join, number_rows, rank_by
+from matchlake.operators.ranking import null_safe_join, rank_by
 from matchlake.session import cut_lineage
 
 Players = DataFrame | Sequence | None
@@ -54,12 +54,18 @@ def _as_double(num: str, den: str) -> Column:
     return F.col(num).cast("double") / F.nullif(F.col(den), F.lit(0).cast("long"))
 
 
+def top(df: DataFrame, order: Sequence[Column], n: int | None = None) -> DataFrame:
+    """The first ``n`` rows of a total order; all of them, in order, where no ``n`` is given."""
+    ordered = df.orderBy(*order)
+    return ordered if n is None else ordered.limit(n)
+
+
 def cap(df: DataFrame, order: Sequence[Column], n: int = DEFAULT_ROWS) -> DataFrame:
-    """The first ``n`` rows of a total order, never more than the report maximum."""
-    return df.orderBy(*order).limit(min(n, MAX_ROWS))
+    """The first ``n`` rows of a total order, but never more than an answer may show; no report is cut by this."""
+    return top(df, order, min(n, MAX_ROWS))
 
 
-def combined_rank(balls: DataFrame, season: int | None = None, min_balls: int = 50, n: int = 25) -> DataFrame:
+def combined_rank(balls: DataFrame, season: int | None = None, min_balls: int = 50, n: int | None = 25) -> DataFrame:
     """Batters by the sum of their strike-rate rank and their average rank.
 
     The balls are read once; the ranks are taken over the written batter sums.
@@ -79,10 +85,10 @@ def combined_rank(balls: DataFrame, season: int | None = None, min_balls: int =
         ratio(F.col("runs"), F.col("outs")).alias("batting_average"),
         (F.col("rank_sr") + F.col("rank_avg")).alias("combined_rank_score"),
     )
-    return cap(scored, [F.asc("combined_rank_score"), F.asc("batter")], n)
+    return top(scored, [F.asc("combined_rank_score"), F.asc("batter")], n)
 
 
-def boundaries(balls: DataFrame, runs: int = 6, season: int | None = None, n: int = DEFAULT_ROWS) -> DataFrame:
+def boundaries(balls: DataFrame, runs: int = 6, season: int | None = None, n: int | None = DEFAULT_ROWS) -> DataFrame:
     """Most balls hit for ``runs``, with the innings in which that happened and the rate per innings."""
     counted = (
         in_play(balls, season)
@@ -91,11 +97,11 @@ def boundaries(balls: DataFrame, runs: int = 6, season: int | None = None, n: in
         .agg(F.count(F.lit(1)).alias("hits"), F.count_distinct("inning_id").alias("innings_played"))
     )
     rated = counted.withColumn("hits_per_inning", ratio(F.col("hits"), F.col("innings_played")))
-    return cap(rated, [F.desc("hits"), F.asc("batter")], n)
+    return top(rated, [F.desc("hits"), F.asc("batter")], n)
 
 
 def partnerships(
-    balls: DataFrame, season: int | None = None, min_runs: int = 300, n: int = DEFAULT_ROWS, credited_only: bool = True
+    balls: DataFrame, season: int | None = None, min_runs: int = 300, n: int | None = DEFAULT_ROWS, credited_only: bool = True
 ) -> DataFrame:
     """Pairs of batters together: runs, run rate, each one's share, boundaries and average, best run rate first."""
     first = F.least("batter", "non_striker")
@@ -129,26 +135,22 @@ def partnerships(
         ratio(F.col("fours_sixes"), F.col("innings_played")).alias("boundaries_per_inning"),
         ratio(F.col("partnership_runs"), F.col("broken")).alias("partnership_average"),
     )
-    return cap(shown, [F.desc_nulls_last("run_rate"), F.asc("player1"), F.asc("player2")], n)
+    return top(shown, [F.desc_nulls_last("run_rate"), F.asc("player1"), F.asc("player2")], n)
 
 
-def hat_tricks(balls: DataFrame, length: int = 3, n: int = DEFAULT_ROWS, super_overs: bool = True) -> DataFrame:
+def hat_tricks(balls: DataFrame, length: int = 3, n: int | None = DEFAULT_ROWS, super_overs: bool = True) -> DataFrame:
     """Bowlers by runs of ``length`` credited wickets on consecutive balls of theirs within one innings.
 
-    A bowler's balls are numbered innings by innings (over by over, so a long innings is not one sort). Each credited
-    wicket at ball b then votes for the balls b .. b + length - 1; a ball with all its votes ends a hat-trick.
+    One window over a bowler's balls in an innings, a group that the rules of the game keep small: a ball ends a
+    hat-trick if it and the ``length - 1`` balls before it all took a credited wicket.
     """
-    group = ["inning_id", "bowler"]
-    numbered = number_rows(
-        in_play(balls, super_overs=super_overs).select(*group, "over_number", "ball_number", "credited_outs"),
-        group, F.col("over_number"), [F.col("ball_number")], "ball",
-    )
-    votes = numbered.where(F.col("credited_outs") > 0).select(
-        *group, F.explode(F.sequence(F.col("ball"), F.col("ball") + length - 1)).alias("ends_at")
+    last = Window.partitionBy("inning_id", "bowler").orderBy("over_number", "ball_number").rowsBetween(1 - length, 0)
+    took = in_play(balls, super_overs=super_overs).select(
+        "inning_id", "bowler", "over_number", "ball_number", (F.col("credited_outs") > 0).cast("int").alias("took")
     )
-    done = votes.groupBy(*group, "ends_at").agg(F.count(F.lit(1)).alias("votes")).where(F.col("votes") == length)
+    done = took.select("bowler", F.sum("took").over(last).alias("in_a_row")).where(F.col("in_a_row") == length)
     counted = done.groupBy("bowler").agg(F.count(F.lit(1)).alias("hat_tricks"))
-    return cap(counted, [F.desc("hat_tricks"), F.asc("bowler")], n)
+    return top(counted, [F.desc("hat_tricks"), F.asc("bowler")], n)
 
 
 def bowler_line(
@@ -190,10 +192,10 @@ def milestones(balls: DataFrame, batters: Players = None, runs: int = 100) -> Da
     )
 
 
-def milestone_board(balls: DataFrame, runs: int = 100, n: int = DEFAULT_ROWS) -> DataFrame:
-    """The batters with most innings of at least ``runs``."""
+def milestone_board(balls: DataFrame, runs: int = 100, n: int | None = None) -> DataFrame:
+    """The batters by innings of at least ``runs``, all who have one."""
     board = milestones(balls, None, runs).where(F.col("milestones") > 0)
-    return cap(board, [F.desc("milestones"), F.desc("highest_score"), F.asc("batter")], n)
+    return top(board, [F.desc("milestones"), F.desc("highest_score"), F.asc("batter")], n)
 
 
 def _first_innings_totals(balls: DataFrame, *keep: str) -> DataFrame:
@@ -205,16 +207,16 @@ def _first_innings_totals(balls: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def first_innings_avg(balls: DataFrame, n: int = MAX_ROWS) -> DataFrame:
+def first_innings_avg(balls: DataFrame, n: int | None = None) -> DataFrame:
     """Average first-innings total of each season."""
     by_season = _first_innings_totals(balls, "season_year").groupBy("season_year").agg(
         F.sum("total").alias("runs"), F.count(F.lit(1)).alias("innings")
     )
     shown = by_season.select("season_year", ratio(F.col("runs"), F.col("innings")).alias("average_score"))
-    return cap(shown, [F.desc_nulls_last("season_year")], n)
+    return top(shown, [F.desc_nulls_last("season_year")], n)
 
 
-def venue_avg(balls: DataFrame, venues: DataFrame, min_matches: int = 5, n: int = DEFAULT_ROWS) -> DataFrame:
+def venue_avg(balls: DataFrame, venues: DataFrame, min_matches: int = 5, n: int | None = DEFAULT_ROWS) -> DataFrame:
     """Venues by average first-innings total; ``venues`` gives match_id and venue."""
     totals = _first_innings_totals(balls).join(venues.select("match_id", "venue"), "match_id")
     by_venue = (
@@ -225,11 +227,11 @@ def venue_avg(balls: DataFrame, venues: DataFrame, min_matches: int = 5, n: int
     shown = by_venue.select(
         "venue", "matches_played", ratio(F.col("runs"), F.col("matches_played")).alias("average_score")
     )
-    return cap(shown, [F.desc("average_score"), F.asc("venue")], n)
+    return top(shown, [F.desc("average_score"), F.asc("venue")], n)
 
 
 def head_to_head(
-    balls: DataFrame, bowlers: Players = None, min_balls: int = 30, n: int = DEFAULT_ROWS,
+    balls: DataFrame, bowlers: Players = None, min_balls: int = 30, n: int | None = DEFAULT_ROWS,
     count_wides: bool = True, super_overs: bool = True, credited_only: bool = True,
 ) -> DataFrame:
     """Batter against bowler: runs, balls, dismissals, rates, boundaries, dot share and usual dismissal.
@@ -259,7 +261,7 @@ def head_to_head(
         ratio(F.col("dots"), F.col("balls"), scale=100).alias("dot_ball_pct"),
         F.col("usual.kind").alias("common_dismissal"),
     )
-    return cap(shown, [F.desc("strike_rate"), F.asc("bowler"), F.asc("batter")], n)
+    return top(shown, [F.desc("strike_rate"), F.asc("bowler"), F.asc("batter")], n)
 
 
 def ball_flags(balls: DataFrame) -> DataFrame:
@@ -274,7 +276,7 @@ def ball_flags(balls: DataFrame) -> DataFrame:
     )
 
 
-def top_bowlers(balls: DataFrame, n: int = 25) -> DataFrame:
+def top_bowlers(balls: DataFrame, n: int | None = 25) -> DataFrame:
     """Bowlers by wickets, then strike rate, average, economy and dot balls."""
     sums = (
         ball_flags(balls)
@@ -297,7 +299,7 @@ def top_bowlers(balls: DataFrame, n: int = 25) -> DataFrame:
         F.desc("wickets"), F.asc_nulls_last("bowling_strike_rate"), F.asc_nulls_last("bowling_average"),
         F.asc_nulls_last("economy_rate"), F.desc("dot_balls"), F.asc("bowler"),
     ]
-    return cap(rated, order, n)
+    return top(rated, order, n)
 
 
 def vs_bowlers(
@@ -325,7 +327,7 @@ def vs_bowlers(
         F.desc("runs"), F.desc_nulls_last("strike_rate"), F.desc_nulls_last("batting_average"), F.desc("boundaries"),
         F.desc("awards"), F.asc("batter"),
     ]
-    return cap(shown, order, n)
+    return top(shown, order, n)
 
 
 def award_counts(awards: DataFrame, player: str = "player_identifier") -> DataFrame:
@@ -343,18 +345,18 @@ def compare(balls: DataFrame, batters: Players) -> DataFrame:
 
 def phase_strike_rate(
     balls: DataFrame, overs: tuple[int, int] = (16, 20), season: int | None = None, min_balls: int = 50,
-    n: int = DEFAULT_ROWS,
+    n: int | None = DEFAULT_ROWS,
 ) -> DataFrame:
-    """Best strike rates in a range of overs."""
+    """Best strike rates in a range of overs, counted from 1 as people do; the fact counts them from 0."""
     sums = (
         in_play(balls, season)
-        .where(F.col("over_number").between(*overs))
+        .where(F.col("over_number").between(overs[0] - 1, overs[1] - 1))
         .groupBy("batter")
         .agg(_runs().alias("runs"), _count(F.col("wides") == 0).alias("balls"))
         .where(F.col("balls") >= min_balls)
     )
     shown = sums.withColumn("strike_rate", ratio(F.col("runs"), F.col("balls"), scale=100))
-    return cap(shown, [F.desc_nulls_last("strike_rate"), F.asc("batter")], n)
+    return top(shown, [F.desc_nulls_last("strike_rate"), F.asc("batter")], n)
 
 
 def boundaries_per_match(balls: DataFrame, season: int | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from matchlake.fixed_values import (
 )
 from matchlake.functions.names import short_name
 from matchlake.functions.plan import with_once
-from matchlake.operators.maintain import upsert
+from matchlake.operators.maintain import latest_values, upsert
 from matchlake.operators.ranking import batches
 from matchlake.operators.vetting import strip_fences
 from matchlake.schemas import PLAYER_REPLY, TIMING_REPLY
@@ -31,9 +31,9 @@ def played_matches(matches: DataFrame, venues: DataFrame, teams: DataFrame) -> D
 
 def players_missing(
     players: DataFrame, appearances: DataFrame, played: DataFrame, attributes: Sequence[str] = PLAYER_ATTRIBUTES,
-    n: int | None = MAX_ROWS,
+    n: int | None = None,
 ) -> DataFrame:
-    """Players that lack an attribute, with their latest match; the first ``n`` by identifier.
+    """Players that lack an attribute, with their latest match; the first ``n`` by identifier, or all.
 
     The latest match is picked by a partial aggregation of (date, match) per player, and only that one match is
     joined back; players that lack nothing are left out before their matches are looked at.
@@ -58,9 +58,9 @@ def players_missing(
 
 
 def matches_missing_timing(
-    played: DataFrame, innings: DataFrame, timings: DataFrame, n: int | None = MAX_ROWS
+    played: DataFrame, innings: DataFrame, timings: DataFrame, n: int | None = None
 ) -> DataFrame:
-    """Matches with two innings whose second has no timing or no scheduled start; the newest ``n``."""
+    """Matches with two innings whose second has no timing or no scheduled start; the newest ``n``, or all."""
     pairs = innings.where(F.col("inning_number").isin(1, 2)).groupBy("match_id").agg(
         F.max(F.when(F.col("inning_number") == 1, F.col("inning_id"))).alias("inning_1_id"),
         F.max(F.when(F.col("inning_number") == 2, F.col("inning_id"))).alias("inning_2_id"),
@@ -87,7 +87,7 @@ def context_text(labels: dict[str, str]) -> Column:
 
 
 def payloads(df: DataFrame, key: Sequence[str], size: int = MAX_ROWS) -> DataFrame:
-    """One JSON array per batch of at most ``size`` rows, dates in ISO form: (batch, n, payload)."""
+    """One JSON array per batch of ``size`` rows (the last may be shorter), dates in ISO form: (batch, n, payload)."""
     columns = df.columns
     rows = batches(df, key, size)
     listed = rows.groupBy("batch").agg(
@@ -134,19 +134,20 @@ def validate(df: DataFrame, domains: dict[str, Sequence[str]] | None = None) ->
 
 
 def merge_attributes(
-    players: DataFrame, replies: DataFrame, attributes: Sequence[str] = PLAYER_ATTRIBUTES, key: str = "identifier"
+    players: DataFrame, replies: DataFrame, attributes: Sequence[str] = PLAYER_ATTRIBUTES, key: str = "identifier",
+    order: Sequence[str] = (),
 ) -> DataFrame:
-    """Fill the attributes of known players from replies (unique on the key); a new value wins, a missing one does not.
+    """Fill the attributes of known players from replies; a new value wins, a missing one does not.
 
-    The stand-in birth date of unknown people is no value.
+    Of several replies for a player, each attribute's last value by the columns ``order`` counts. The stand-in birth date of unknown people is no value.
     """
     columns = [c for c in attributes if c in replies.columns]
     given = [
         F.nullif(F.col(c).cast("string"), F.lit(UNKNOWN_BIRTH_DATE)).try_cast("date").alias(c) if c == "date_of_birth" else F.col(c)
         for c in columns
     ]
-    known = replies.select(key, *given).join(players.select(key), key, "left_semi")
-    return upsert(players, known, [key], "coalesce")
+    known = replies.select(key, *order, *given).join(players.select(key), key, "left_semi")
+    return upsert(players, latest_values(known, [key], order), [key], "coalesce")
 
 
 def recode(df: DataFrame, column: str, mapping: dict[str, str] = STYLE_PAIRS) -> DataFrame:
@@ -192,9 +193,12 @@ def timings(replies: DataFrame) -> DataFrame:
     )
 
 
-def merge_timings(known: DataFrame, new: DataFrame) -> DataFrame:
-    """Known timings with what the new ones add; a new value wins, a missing one does not."""
-    return upsert(known, new, ["inning_id"], "coalesce")
+def merge_timings(known: DataFrame, new: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """Known timings with what the new ones add; a new value wins, a missing one does not.
+
+    Of several new rows for an innings, each column's last value by the columns ``order`` counts.
+    """
+    return upsert(known, latest_values(new, ["inning_id"], order), ["inning_id"], "coalesce")
 
 
 def delays(replies: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.operators.ranking import number_by_hash
+from matchlake.operators.ranking import null_safe_join, number_by_hash
 from matchlake.session import cut_lineage
 
 
@@ -24,6 +24,16 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str =
     return chosen.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
+def latest_values(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """One row per key, each column with its last value that is not NULL by ``order`` (the largest value where that ties).
+
+    ``order`` is left out of the result; keys that are NULL share a row.
+    """
+    rest = [c for c in df.columns if c not in [*keys, *order]]
+    last = [F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order, F.col(c).alias("_value")))).alias(c) for c in rest]
+    return df.groupBy(*keys).agg(*last) if last else df.select(*keys).distinct()
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], mode: str = "overwrite") -> DataFrame:
     """Insert ``source`` into ``target``; ``source`` is unique on ``keys`` (see :func:`dedupe`).
 
@@ -53,7 +63,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], mode: str
 def assign_key(
     df: DataFrame, natural: Sequence[str], key: str, existing: DataFrame | None = None
 ) -> DataFrame:
-    """Dense whole-number keys for the distinct ``natural`` values.
+    """Dense whole-number keys for the distinct ``natural`` values; in all columns but the first NULL is a value like others.
 
     Keys already given in ``existing`` (natural..., key) never change; new values go on after the highest one. The
     numbering runs over hash buckets, so that no task sorts all values. The distinct values are written to the shared
@@ -63,7 +73,7 @@ def assign_key(
     values = df.select(*natural).where(F.col(natural[0]).isNotNull()).distinct()
     if existing is None:
         return number_by_hash(cut_lineage(values), natural, key)
-    unknown = cut_lineage(values.join(existing.select(*natural), natural, "left_anti"))
+    unknown = cut_lineage(null_safe_join(values, existing.select(*natural), natural, "left_anti"))
     new = number_by_hash(unknown, natural, key)
     last = existing.agg(F.coalesce(F.max(key), F.lit(0).cast("long")).alias("last")).scalar()
     return existing.select(*natural, F.col(key).cast("long").alias(key)).unionByName(
@@ -101,9 +111,12 @@ def attach_key(df: DataFrame, dim: DataFrame, on: dict[str, str], key: str, out:
 
 
 def apply_corrections(df: DataFrame, patches: DataFrame, key: str) -> DataFrame:
-    """Overwrite single attributes by curated values; a NULL in a patch leaves the attribute alone."""
+    """Overwrite single attributes by curated values; a NULL in a patch leaves the attribute alone.
+
+    Of several patches for a key, each attribute's largest value counts.
+    """
     columns = [c for c in patches.columns if c != key]
-    renamed = patches.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_fix_{c}") for c in columns])
+    renamed = latest_values(patches, [key]).select(F.col(key).alias("_key"), *[F.col(c).alias(f"_fix_{c}") for c in columns])
     joined = df.join(renamed, df[key] == renamed["_key"], "left")
     return joined.select(
         *[F.coalesce(F.col(f"_fix_{c}").cast(df.schema[c].dataType), df[c]).alias(c) if c in columns else df[c]
@@ -165,7 +178,9 @@ def audit(tables: dict[str, DataFrame], rules: Sequence) -> DataFrame:
         if isinstance(rule, (NotNull, Check)):
             by_table.setdefault(rule.table, []).append(rule)
         elif isinstance(rule, Unique):
-            counts = tables[rule.table].groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+            # As in SQL, a key with a NULL in it equals no other.
+            whole = tables[rule.table].dropna(subset=list(rule.columns))
+            counts = whole.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
             found.append(_found(counts, "unique " + ",".join(rule.columns), rule.table, _key_text(rule.columns)))
         else:
             counts = tables[rule.table].dropna(subset=list(rule.columns)).groupBy(*rule.columns).agg(

@@ -319,7 +319,7 @@ def balls(docs: DataFrame, uncredited: list[str] = UNCREDITED_KINDS) -> DataFram
     rows = _ball_rows(docs).withColumn("dismissals", dismissals)
     return rows.select(
         "match_id", "inning_id", "inning_number", "is_super_over", "season_year", "batting_team",
-        F.col("over_place").alias("over_number"), "ball_number", "delivery_id", "batter", "non_striker", "bowler",
+        "over_number", "ball_number", "delivery_id", "batter", "non_striker", "bowler",
         F.coalesce("ball.runs.batter", F.lit(0)).alias("runs_batter"),
         F.coalesce("ball.runs.total", F.lit(0)).alias("runs_total"),
         *[_extra(x).alias(x) for x in ["wides", "noballs", "byes", "legbyes"]],

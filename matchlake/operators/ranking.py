@@ -72,8 +72,14 @@ def rank_by(df: DataFrame, value: str, out: str, descending: bool = True) -> Dat
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str, weight: str = "n") -> DataFrame:
-    """One row per distinct value and key with its number of rows; the base of the distribution shapes."""
-    return df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias(weight))
+    """One row per distinct value and key with its number of rows; the base of the distribution shapes.
+
+    NULL and NaN are no values.
+    """
+    given = F.col(value).isNotNull()
+    if df.schema[value].dataType.typeName() in ("float", "double"):
+        given = given & ~F.isnan(value)
+    return df.where(given).groupBy(*keys, value).agg(F.count(F.lit(1)).alias(weight))
 
 
 def cumulative(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -110,17 +116,6 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, f
 
 
 def batches(df: DataFrame, key: Sequence[str], size: int, out: str = "batch") -> DataFrame:
-    """Add ``out``: a label shared by at most ``size`` rows; rows are unique on ``key``.
-
-    Batches are cut inside hash buckets, so no pass over all rows in one order is needed.
-    """
-    columns = [F.col(k) for k in key]
-    w = Window.partitionBy("_bucket").orderBy(*columns)
-    return (
-        df.withColumn("_bucket", hash_bucket(*columns))
-        .withColumn("_place", F.row_number().over(w))
-        .withColumn(
-            out, F.concat_ws("-", "_bucket", whole_div(F.col("_place") - 1, F.lit(size)).cast("string"))
-        )
-        .drop("_bucket", "_place")
-    )
+    """Add ``out``: a number from 0 shared by ``size`` rows, by fewer only in the last batch; rows are unique on ``key``."""
+    numbered = number_by_hash(df, key, "_place")
+    return numbered.withColumn(out, whole_div(F.col("_place") - 1, F.lit(size))).drop("_place")

@@ -17,7 +17,6 @@ from matchlake.operators.maintain import assign_key
 from matchlake.operators.ranking import cumulative, null_safe_join, quantiles
 
 BOX_QUANTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-MAX_PIVOT_VALUES = 1000
 
 
 def _is_number(field: T.StructField) -> bool:
@@ -343,11 +342,17 @@ def violin(df: DataFrame, y: str, by: Sequence[str], grid: int = 50, bins: int =
     return joined.groupBy(*by, "n", *BOX_QUANTILES, "grid_place", at.alias("grid_value")).agg(F.sum(bell).alias("density"))
 
 
-def heatmap(df: DataFrame, x: str, y: str, z: str, x_values: Sequence) -> DataFrame:
-    """Means of ``z`` by y (rows) and x (columns, given), empty cells 0."""
-    if len(x_values) > MAX_PIVOT_VALUES:
-        raise ValueError(f"more than {MAX_PIVOT_VALUES} columns")
-    return df.groupBy(y).pivot(x, list(x_values)).agg(F.avg(z)).fillna(0)
+def heatmap(df: DataFrame, x: str, y: str, z: str, out: str = "mean") -> DataFrame:
+    """Mean of ``z`` in every cell of the chart, one row per distinct y and x, empty cells 0; a NULL place is none.
+
+    The rows are reduced to cells first. The places on the x axis are one list value, given to every y: the chart itself
+    is as wide as that list.
+    """
+    placed = df.dropna(subset=[x, y])
+    cells = placed.groupBy(y, x).agg(F.avg(z).alias("_mean"))
+    axis = placed.select(x).distinct().agg(F.collect_list(x).alias("places")).scalar()
+    grid = placed.select(y).distinct().select(y, F.explode(axis).alias(x))
+    return grid.join(cells, [y, x], "left").select(y, x, F.coalesce("_mean", F.lit(0.0)).alias(out))
 
 
 def radar(df: DataFrame, item: str, items: Sequence, metrics: Sequence[str], normalise: bool = True) -> DataFrame:

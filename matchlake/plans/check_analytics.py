@@ -182,7 +182,7 @@ FROM balls WHERE over_number BETWEEN 4 AND 7 AND season_year = 1998 AND NOT is_s
 GROUP BY batter HAVING count(*) FILTER (wides = 0) >= 20
 ORDER BY strike_rate DESC, batter LIMIT 10""")
 def _(t: Tables):
-    return an.phase_strike_rate(t.season_balls, (4, 7), season=1998, min_balls=20)
+    return an.phase_strike_rate(t.season_balls, (5, 8), season=1998, min_balls=20)
 
 
 @check("an_venue_avg", BALL_VIEWS + f""",
@@ -201,8 +201,7 @@ scores AS (
   SELECT batter, inning_id, sum(runs_batter) AS runs FROM balls WHERE NOT is_super_over GROUP BY ALL)
 SELECT batter, count(*) FILTER (runs >= 9) AS milestones, count(*) AS innings_played,
        CAST(max(runs) AS BIGINT) AS highest_score
-FROM scores GROUP BY batter HAVING count(*) FILTER (runs >= 9) > 0
-ORDER BY milestones DESC, highest_score DESC, batter LIMIT 10""")
+FROM scores GROUP BY batter HAVING count(*) FILTER (runs >= 9) > 0""")
 def _(t: Tables):
     return an.milestone_board(t.balls, runs=9)
 

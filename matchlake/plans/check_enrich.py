@@ -39,7 +39,7 @@ WITH played AS (
 SELECT c_custkey AS identifier, c_name AS name, c_mktsegment AS unique_name, match_date AS last_match_date, season_year AS last_season_year,
        o_custkey AS last_match_number, venue_name AS last_venue_name, city AS last_city, team1 || ' v/s ' || team2 AS last_match_played
 FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY match_date DESC, match_id DESC) AS place FROM played) JOIN customer ON c_custkey = o_custkey
-WHERE place = 1 AND (c_mktsegment = 'BUILDING' OR c_acctbal < 0) ORDER BY c_custkey LIMIT 100""")
+WHERE place = 1 AND (c_mktsegment = 'BUILDING' OR c_acctbal < 0)""")
 def _(t: Tables):
     people = t.customer.select(
         F.col("c_custkey").alias("identifier"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("unique_name"),
@@ -55,8 +55,7 @@ innings AS (SELECT DISTINCT l_orderkey AS match_id, l_linenumber AS inning_numbe
 timed AS (SELECT l_orderkey * 100 + l_linenumber AS inning_id FROM lineitem WHERE l_linenumber = 2 AND l_returnflag = 'N')
 SELECT match_id, season_year, match_date AS match_date_played, venue_name, team1, team2, a.inning_id AS inning_1_id, b.inning_id AS inning_2_id
 FROM played JOIN innings a USING (match_id) JOIN innings b USING (match_id)
-WHERE a.inning_number = 1 AND b.inning_number = 2 AND b.inning_id NOT IN (SELECT inning_id FROM timed)
-ORDER BY season_year DESC, match_date DESC, match_id LIMIT 100""")
+WHERE a.inning_number = 1 AND b.inning_number = 2 AND b.inning_id NOT IN (SELECT inning_id FROM timed)""")
 def _(t: Tables):
     innings = t.lineitem.select(
         F.col("l_orderkey").alias("match_id"), F.col("l_linenumber").alias("inning_number"),
@@ -69,12 +68,12 @@ def _(t: Tables):
 
 
 @check("request_payload", """
-WITH placed AS (SELECT *, substr(md5(CAST(c_custkey AS VARCHAR)), 1, 3) AS bucket FROM customer),
-cut AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY c_custkey) - 1 AS place FROM placed)
-SELECT bucket || '-' || (place // 5) AS batch, count(*) AS n,
+WITH placed AS (
+  SELECT *, row_number() OVER (ORDER BY substr(md5(CAST(c_custkey AS VARCHAR)), 1, 3), c_custkey) - 1 AS place FROM customer)
+SELECT place // 5 AS batch, count(*) AS n,
        '[' || string_agg('{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","day":"' ||
          strftime(DATE '2020-01-01' + c_nationkey, '%Y-%m-%d') || '"}', ',' ORDER BY c_custkey) || ']' AS payload
-FROM cut GROUP BY 1""")
+FROM placed GROUP BY 1""")
 def _(t: Tables):
     day = F.date_add(F.lit("2020-01-01").cast("date"), F.col("c_nationkey"))
     return en.payloads(t.customer.select("c_custkey", "c_name", day.alias("day")), ["c_custkey"], 5)

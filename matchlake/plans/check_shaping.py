@@ -273,16 +273,15 @@ def _(t: Tables):
 
 
 @check("shape_heatmap", """
-SELECT c_mktsegment, coalesce(round(avg(o_totalprice) FILTER (o_orderpriority = '1-URGENT'), 2), 0) AS urgent,
-       coalesce(round(avg(o_totalprice) FILTER (o_orderpriority = '2-HIGH'), 2), 0) AS high,
-       coalesce(round(avg(o_totalprice) FILTER (o_orderpriority = 'NEVER'), 2), 0) AS never
-FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1""")
+WITH data AS (SELECT c_nationkey, day, o_totalprice FROM
+  (SELECT *, CAST(o_orderdate AS DATE) AS day FROM orders) JOIN customer ON c_custkey = o_custkey)
+SELECT c_nationkey, day, coalesce(round(avg(o_totalprice), 6), 0) AS mean
+FROM (SELECT DISTINCT c_nationkey FROM data) CROSS JOIN (SELECT DISTINCT day FROM data) LEFT JOIN data USING (c_nationkey, day)
+GROUP BY ALL""")
 def _(t: Tables):
     data = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey"))
-    out = sh.heatmap(data, "o_orderpriority", "c_mktsegment", "o_totalprice", ["1-URGENT", "2-HIGH", "NEVER"])
-    return out.select(
-        "c_mktsegment", F.round("1-URGENT", 2).alias("urgent"), F.round("2-HIGH", 2).alias("high"), F.round("NEVER", 2).alias("never")
-    )
+    out = sh.heatmap(data.withColumn("day", F.to_date("o_orderdate")), "day", "c_nationkey", "o_totalprice")
+    return out.withColumn("mean", F.round("mean", 6))
 
 
 @check("shape_radar", """

@@ -71,8 +71,19 @@ def test_cards_take_player_columns(spark):
     assert an.batting_card(balls, players=born).first().age == 23
 
 
-def test_reports_are_capped(spark):
+def test_only_the_capped_answer_is_cut(spark):
     assert an.cap(spark.range(500), [F.asc("id")], 400).count() == 100
+    assert an.top(spark.range(500), [F.asc("id")], 400).count() == 400
+    assert an.top(spark.range(500), [F.desc("id")]).first().id == 499
+    balls = fact(spark, [("x", f"p{i:03}", "z", 6, 0, None) for i in range(250)])
+    assert an.boundaries(balls, n=None).count() == 250 and an.boundaries(balls, n=200).count() == 200
+    assert an.milestone_board(balls, runs=6).count() == 250
+
+
+def test_overs_of_a_phase_count_from_one(spark):
+    balls = fact(spark, [("x", "a", "b", over, 0, None) for over in range(20) for _ in range(6)])
+    last = an.phase_strike_rate(balls, min_balls=1).first()
+    assert (last.balls, last.runs) == (30, 6 * sum(range(15, 20)))
 
 
 def test_label_leaves_missing_parts_out(spark):

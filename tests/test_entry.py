@@ -1,6 +1,7 @@
 import re
 
 import __spark_entry__ as spark_entry
+from matchlake.plans.catalogue import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -8,7 +9,7 @@ SMALL = "/root/testdata/sf0.001"
 def test_register():
     queries, checks = spark_entry.queries(), spark_entry.oracle_sql()
     assert set(checks) <= set(queries)
-    assert set(queries) - set(checks) == {"token_set_match", "resolve_names"}
+    assert set(QUERIES) <= set(queries) and set(QUERIES) - set(checks) == {"token_set_match", "resolve_names"}
 
 
 def test_entry(spark):

@@ -61,7 +61,12 @@ def test_hash_numbers_are_dense_whatever_the_partitions(spark):
     assert a == b and sorted(n for _, n in a) == list(range(1, 501))
 
 
-def test_batches_hold_every_row_once(spark):
+def test_batches_are_full_but_the_last(spark):
     cut = rk.batches(spark.range(2000), ["id"], 3)
-    sizes = cut.groupBy("batch").count().collect()
-    assert sum(r["count"] for r in sizes) == 2000 and max(r["count"] for r in sizes) <= 3
+    sizes = {r["batch"]: r["count"] for r in cut.groupBy("batch").count().collect()}
+    assert sizes == {b: 3 for b in range(666)} | {666: 2} and cut.select("id").distinct().count() == 2000
+
+
+def test_nan_is_no_value(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (2.0,), (None,)], "v double")
+    assert rows(rk.cumulative(df, [], "v")) == [(1.0, 1, 0, 2), (2.0, 1, 1, 2)]

@@ -44,6 +44,12 @@ def test_lowess_follows_a_line(spark):
         assert abs(r.smoothed - (3 * r.x + 2)) < 1e-6
 
 
+def test_heatmap_shows_every_place(spark):
+    df = spark.createDataFrame([("a", i, 1.0 * i) for i in range(1500)] + [("b", 7, 3.0), ("b", 7, 5.0), (None, 1, 1.0)], "y string, x int, z double")
+    got = {(r.y, r.x): r["mean"] for r in sh.heatmap(df, "x", "y", "z").collect()}
+    assert len(got) == 3000 and got["a", 1499] == 1499.0 and got["b", 7] == 4.0 and got["b", 8] == 0.0
+
+
 def test_histogram_limits(values):
     assert sum(r.n for r in sh.histogram(values, "v", 10).collect()) == 400
     with pytest.raises(ValueError):

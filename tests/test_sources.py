@@ -4,7 +4,10 @@ import pytest
 from conftest import rows
 from matches import FIRST, SECOND
 
-from matchlake.operators.maintain import apply_corrections, assign_key, dedupe, upsert
+from pyspark.sql import functions as F
+
+from matchlake.operators.enrich import merge_timings
+from matchlake.operators.maintain import Unique, apply_corrections, assign_key, audit, dedupe, upsert
 from matchlake.sources.documents import parse_documents, stage_documents
 from matchlake.sources.people import load_players, read_people
 from matchlake.sources.snapshots import restore, snapshot, write_ball_fact
@@ -43,7 +46,7 @@ def test_people_csv(spark, tmp_path):
     write(tmp_path, "p.csv", 'identifier,name,unique_name,key_cricinfo,extra\np1,"A, One",A One,,7\n,B,B,1,\np2,C,C,5,\n')
     people = read_people(spark, str(tmp_path / "p.csv"))
     assert rows(people, "identifier", "name", "key_cricinfo", "extra") == [("p1", "A, One", None, "7"), ("p2", "C", "5", None)]
-    known = load_players(people.where("identifier = 'p1'")).withColumn("name", people["name"])
+    known = load_players(people.where("identifier = 'p1'")).withColumn("name", F.col("name"))
     again = load_players(people, known)
     assert rows(again, "identifier") == [("p1",), ("p2",)]
 
@@ -74,6 +77,23 @@ def test_keys_are_dense_and_stable(spark):
     assert set(rows(first)) <= set(rows(both))
 
 
+def test_a_null_in_a_key_is_given_once(spark):
+    pairs = spark.createDataFrame([("a", None), ("a", "x"), (None, "x")], "name string, city string")
+    first = assign_key(pairs, ["name", "city"], "id")
+    assert rows(assign_key(pairs, ["name", "city"], "id", first)) == rows(first) and first.count() == 2
+    assert rows(audit({"t": pairs.union(pairs)}, [Unique("t", ("name", "city"))]), "key", "n") == [("a|x", 2)]
+
+
+def test_repeated_rows_of_one_key_count_once(spark, tmp_path):
+    (tmp_path / "twice.csv").write_text("identifier,name,unique_name,key_cricinfo\np1,Old,O,1\np2,B,B,2\np1,New,N,1\n")
+    people = read_people(spark, str(tmp_path / "twice.csv"))
+    assert rows(people, "identifier", "name") == [("p1", "New"), ("p2", "B")]
+    assert load_players(people.unionByName(people)).count() == 2
+    known = spark.createDataFrame([(1, 5, None), (2, 6, None)], "inning_id int, a int, b int")
+    new = spark.createDataFrame([(1, 7, None, 1), (1, None, 8, 2), (1, 3, None, 3)], "inning_id int, a int, b int, at int")
+    assert rows(merge_timings(known, new, ["at"])) == [(1, 3, 8), (2, 6, None)]
+
+
 def test_corrections(spark):
     players = spark.createDataFrame([("a", "x", None), ("b", "y", "1")], "k string, name string, born string")
     fixes = spark.createDataFrame([("a", None, "2000-01-01"), ("z", "q", None)], "k string, name string, born string")
