@@ -3,7 +3,6 @@ import json
 import pytest
 from conftest import rows
 from matches import FIRST, SECOND
-
 from pyspark.sql import functions as F
 
 from matchlake.operators.enrich import merge_timings
