@@ -2,8 +2,9 @@
 
 Menus, forms, adverts and the like are left out by their elements and by the names of their classes first. For every node
 left, the composite density is its characters per tag, weighed down where much of its text is links. The densities of a
-node's children add up to its density sum. The node with the largest sum leads to the content: the least density on the
-path from the body to it is the threshold that a node beside the path must reach to be taken as well.
+node's block children add up to its density sum. The node with the largest sum leads to the content: the least density on
+the path from the body to it is the threshold that a node beside the path must reach to be taken as well. Bare text of the
+nodes on the path stays; children of the best node go where they are mostly links and thinner than that. No element decides by its name that it is the content.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements whose contents are no text of the page at all.
+NO_TEXT = frozenset("script style noscript template head title select option textarea input iframe svg object canvas".split())
 #: Elements that hold no main text.
 PRUNED = frozenset(
     "script style noscript template head title nav header footer aside form button select option textarea input iframe svg object dialog menu canvas".split())
@@ -37,10 +40,12 @@ _HOLDS_P = {"body", "article", "section", "main", "div", "td", "th", "table", "l
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "sum", "pruned")
+    __slots__ = ("tag", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "sum", "pruned", "unread", "block")
 
     def __init__(self, tag: str, parent: Node | None, pruned: bool) -> None:
         self.tag, self.parent, self.pruned = tag, parent, pruned
+        self.unread = tag in NO_TEXT or (parent is not None and parent.unread)
+        self.block = tag in BLOCKS and tag != "br"
         self.parts: list = []  # texts and nodes in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
@@ -95,9 +100,13 @@ class TreeBuilder(HTMLParser):
 
 
 def measure(nodes: list[Node]) -> Node:
-    """Set densities and sums of all nodes (parents stand before their children); returns the body."""
+    """Set densities and sums of all nodes (parents stand before their children); returns the body.
+
+    Menus and the like count in the densities of the nodes that hold them, but in no sum. Inline elements are part of the
+    text of their block.
+    """
     for node in reversed(nodes):
-        if node.pruned:
+        if node.unread:
             continue
         node.chars += sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
         if node.tag == "a":
@@ -106,22 +115,58 @@ def measure(nodes: list[Node]) -> Node:
             up = node.parent
             up.chars, up.tags = up.chars + node.chars, up.tags + node.tags + 1
             up.link_chars, up.link_tags = up.link_chars + node.link_chars, up.link_tags + node.link_tags
+            up.block = up.block or node.block
     body = next((n for n in nodes if n.tag == "body"), nodes[0])
     page_links = body.link_chars / body.chars if body.chars else 0.0
     for node in nodes:
-        if node.pruned or not node.chars:
+        if node.unread or not node.chars:
             continue
-        plain = node.chars - node.link_chars
-        base = math.log(node.chars / max(plain, 1) * node.link_chars + page_links * node.chars + math.e)
-        weight = node.chars / max(node.link_chars, 1) * max(node.tags, 1) / max(node.link_tags, 1)
-        node.density = node.chars / max(node.tags, 1) * math.log(max(weight, 1.0)) / math.log(max(base, math.e))
-        if node.parent is not None:
+        node.density = _density(node.chars, node.tags, node.link_chars, node.link_tags, page_links)
+        if node.parent is not None and node.block and not node.pruned:
             node.parent.sum += node.density
     return body
 
 
-def content(nodes: list[Node]) -> list[Node]:
-    """The nodes whose subtrees are the main text, in page order."""
+def _density(chars: int, tags: int, link_chars: int, link_tags: int, page_links: float) -> float:
+    """Composite density: characters per tag, weighed down by the share of links in them and in the page."""
+    base = math.log(chars / max(chars - link_chars, 1) * link_chars + page_links * chars + math.e)
+    weight = chars / max(link_chars, 1) * max(tags, 1) / max(link_tags, 1)
+    return chars / max(tags, 1) * math.log(max(weight, 1.0)) / math.log(max(base, math.e))
+
+
+def _runs(node: Node, on_path: set[int]) -> list[Node | list]:
+    """The parts of a node in page order: child nodes, and lists of bare text with the inline children that stand in it."""
+    out: list[Node | list] = []
+    run: list = []
+
+    def end_run() -> None:
+        if any(isinstance(p, str) and p.strip() for p in run):
+            out.append(list(run))
+        else:
+            out.extend(p for p in run if isinstance(p, Node))
+        run.clear()
+
+    for part in node.parts:
+        if isinstance(part, Node) and (part.block or id(part) in on_path):
+            end_run()
+            out.append(part)
+        else:
+            run.append(part)
+    end_run()
+    return out
+
+
+def _keeps(run: list, threshold: float, page_links: float) -> bool:
+    """Whether bare text of a node on the path is content: always, but for a row of links that is thinner than the threshold."""
+    inline = [p for p in run if isinstance(p, Node) and not p.pruned]
+    bare = sum(len("".join(p.split())) for p in run if isinstance(p, str))
+    chars, links = bare + sum(n.chars for n in inline), sum(n.link_chars for n in inline)
+    tags, link_tags = sum(n.tags + 1 for n in inline), sum(n.link_tags for n in inline)
+    return 2 * links <= chars or _density(chars, tags, links, link_tags, page_links) >= threshold
+
+
+def content(nodes: list[Node]) -> list[Node | list]:
+    """What makes up the main text, in page order: nodes with all below them, and runs of bare text of the nodes above the densest."""
     body = measure(nodes)
     live = [n for n in nodes if not n.pruned and n.chars]
     if not live:
@@ -132,18 +177,34 @@ def content(nodes: list[Node]) -> list[Node]:
     path = [best]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
-    whole = next((n for n in path if n.tag in ("article", "main")), None)
-    if whole is not None:
-        return [whole]
     on_path = path[: path.index(body) + 1] if body in path else path
     threshold = min(n.density for n in on_path)
+    page_links = body.link_chars / body.chars if body.chars else 0.0
     # Beside the path, what is as dense as the path's thinnest node belongs to the content.
-    chosen = {id(best)} | {id(p) for n in on_path[1:] for p in n.parts if isinstance(p, Node) and p not in on_path and p.density >= threshold and p.density > 0}
-    return [n for n in nodes if id(n) in chosen]
-
-
-def text_of(chosen: list[Node]) -> str:
-    """The text of subtrees, block by block, joined by line feeds."""
+    kept = [p for p in best.parts if isinstance(p, str) or not p.block or 2 * p.link_chars <= p.chars or p.density >= threshold]
+    chosen: list[Node | list] = [kept] if any(isinstance(p, Node) or p.strip() for p in kept) else [best]
+    on = {id(n) for n in on_path}
+    for above in on_path[1:]:
+        beside: list[Node | list] = []
+        before = True
+        for run in _runs(above, on):
+            if isinstance(run, Node):
+                if id(run) in on:
+                    before = False
+                    chosen = beside + chosen
+                    beside = []
+                elif not run.pruned and run.density >= threshold and run.density > 0:
+                    beside.append(run)
+            elif _keeps(run, threshold, page_links):
+                beside.append(run)
+            else:
+                beside.extend(p for p in run if isinstance(p, Node) and not p.pruned and p.density >= threshold and p.density > 0)
+        chosen = beside + chosen if before else chosen + beside
+    return chosen
+
+
+def text_of(chosen: list[Node | list]) -> str:
+    """The text of subtrees and runs, block by block, joined by line feeds."""
     blocks: list[str] = []
     now: list[str] = []
 
@@ -154,7 +215,7 @@ def text_of(chosen: list[Node]) -> str:
         now.clear()
 
     for top in chosen:
-        work: list = [top]
+        work: list = [top] if isinstance(top, Node) else list(reversed(top))
         while work:
             part = work.pop()
             if part is None:

@@ -124,6 +124,32 @@ def test_main_text(html, text):
     assert main_text.extract_text(html) == text
 
 
+def words_of(k, n):
+    return " ".join(f"word{k} of text{i}" for i in range(n))
+
+
+MENU = "<nav><ul>" + "".join(f"<li><a href=x>Link {i}</a></li>" for i in range(20)) + "</ul></nav>"
+
+
+@pytest.mark.parametrize("page, text", [
+    # several articles, none inside another
+    (f"<main><article><h2>{words_of(1, 3)}</h2><p>{words_of(2, 40)}</p></article><article><h2>{words_of(3, 3)}</h2><p>{words_of(4, 30)}</p></article></main>",
+     [words_of(1, 3), words_of(2, 40), words_of(3, 3), words_of(4, 30)]),
+    # nested articles: a live blog
+    ("<article>" + "".join(f"<article><p>{words_of(k, 20)}</p><p>{words_of(k + 10, 25)}</p></article>" for k in range(4)) + "</article>",
+     [words_of(k + d, n) for k in range(4) for d, n in ((0, 20), (10, 25))]),
+    # no article
+    (f"<div><p>{words_of(1, 30)}</p><p>{words_of(2, 30)}</p></div>", [words_of(1, 30), words_of(2, 30)]),
+    # bare text in an ancestor of the best node, with an inline link in it
+    (f"<div>{words_of(5, 8)} <a href=x>see</a> below<div><p>{words_of(1, 30)}</p><p>{words_of(2, 30)}</p></div>{words_of(6, 8)}</div>",
+     [words_of(5, 8) + " see below", words_of(1, 30), words_of(2, 30), words_of(6, 8)]),
+    # a list of links without a name in the article
+    (f"<article><p>{words_of(1, 30)}</p><ul>" + "<li><a href=x>More of it</a></li>" * 9 + f"</ul><p>{words_of(2, 30)}</p></article>", [words_of(1, 30), words_of(2, 30)]),
+])
+def test_main_text_by_density(page, text):
+    assert main_text.extract_text(f"<body>{MENU}{page}</body>").split("\n") == text
+
+
 def test_main_text_rows(spark):
     pages = spark.createDataFrame([(1, "u", None, "k"), (1, "u", None, "k"), (None, None, "<p>x</p>", "k")], "page_id long, url string, html string, text string")
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in main_text.extract(pages).collect()) == [(0, "x", 1), (1, "", 0), (1, "", 0)]
