@@ -1,7 +1,7 @@
 """Main text of web pages by composite text density over the tree of a page.
 
-Menus, forms, adverts and the like are left out by their elements and by the names of their classes first. For every node
-left, the composite density is its characters per tag, weighed down where much of its text is links. The densities of a
+Menus, forms, adverts and the like are left out by their elements and by the names of their classes first, unless they
+hold the page's article or most of its text. For every node left, the composite density is its characters per tag, weighed down where much of its text is links. The densities of a
 node's block children add up to its density sum. The node with the largest sum leads to the content: the least density on
 the path from the body to it is the threshold that a node beside the path must reach to be taken as well. Bare text of the
 nodes on the path stays; children of the best node go where they are mostly links and thinner than that. No element decides by its name that it is the content.
@@ -10,7 +10,6 @@ nodes on the path stays; children of the best node go where they are mostly link
 from __future__ import annotations
 
 import math
-import re
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -18,14 +17,14 @@ from pyspark.sql import DataFrame
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose contents are no text of the page at all.
-NO_TEXT = frozenset("script style noscript template head title select option textarea input iframe svg object canvas".split())
+NO_TEXT = frozenset("script style title select option textarea input iframe svg canvas".split())
 #: Elements that hold no main text.
 PRUNED = frozenset(
     "script style noscript template head title nav header footer aside form button select option textarea input iframe svg object dialog menu canvas".split())
 BLOCKS = frozenset(
     "html body article section main div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption thead tbody tfoot tr td th blockquote pre figure figcaption address "
     "details summary hr br fieldset center".split())
-#: Words in the class, id or role of an element that holds no main text.
+#: Classes, ids and roles of an element that holds no main text; whole ones, not parts of hyphenated names.
 NOT_CONTENT = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo banner nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer "
     "header masthead comment comments disqus reply replies respond cookie cookies consent notice notices newsletter subscribe signup popup modal social share sharing "
@@ -43,7 +42,7 @@ class Node:
     __slots__ = ("tag", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "sum", "pruned", "unread", "block")
 
     def __init__(self, tag: str, parent: Node | None, pruned: bool) -> None:
-        self.tag, self.parent, self.pruned = tag, parent, pruned
+        self.tag, self.parent, self.pruned = tag, parent, pruned  # so far by its own name only; see prune
         self.unread = tag in NO_TEXT or (parent is not None and parent.unread)
         self.block = tag in BLOCKS and tag != "br"
         self.parts: list = []  # texts and nodes in page order
@@ -78,9 +77,9 @@ class TreeBuilder(HTMLParser):
                     break
         names = " ".join(v or "" for k, v in attrs if k in ("class", "id", "role")).lower()
         hidden = any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs)
-        named = tag not in ("html", "body", "article", "main") and not NOT_CONTENT.isdisjoint(re.split(r"[^a-z]+", names))
+        named = tag not in ("html", "body", "article", "main") and not NOT_CONTENT.isdisjoint(names.split())
         parent = self.open[-1]
-        node = Node(tag, parent, parent.pruned or hidden or named or tag in PRUNED)
+        node = Node(tag, parent, hidden or named or tag in PRUNED)
         parent.parts.append(node)
         self.nodes.append(node)
         if tag not in VOID:
@@ -99,8 +98,35 @@ class TreeBuilder(HTMLParser):
         self.open[-1].parts.append(data)
 
 
+def _within(node: Node | None) -> set[int]:
+    """The node and all above it."""
+    out = set()
+    while node is not None:
+        out.add(id(node))
+        node = node.parent
+    return out
+
+
+def prune(nodes: list[Node]) -> None:
+    """Hand ``pruned`` down from the elements that look like no content to all below them.
+
+    Neither what holds the page's <main> or longest <article> nor what holds more than half of its characters outside links
+    is pruned, whatever its name; but a footer and the like beside a <main> or <article> are, however long they are.
+    """
+    def plain(node: Node) -> int:
+        return node.chars - node.link_chars
+
+    mains = [n for n in nodes if n.tag == "main" and not n.unread and plain(n)]
+    articles = [n for n in nodes if n.tag == "article" and not n.unread and plain(n)]
+    beside = frozenset("nav header footer aside menu dialog".split()) if mains or articles else frozenset()
+    spared = _within(max(mains, key=plain, default=None)) | _within(max(articles, key=plain, default=None))
+    for node in nodes:
+        own = node.pruned and not (id(node) in spared or (node.tag not in beside and 2 * plain(node) > plain(nodes[0])))
+        node.pruned = node.unread or own or (node.parent is not None and node.parent.pruned)
+
+
 def measure(nodes: list[Node]) -> Node:
-    """Set densities and sums of all nodes (parents stand before their children); returns the body.
+    """Set ``pruned``, densities and sums of all nodes (parents stand before their children); returns the body.
 
     Menus and the like count in the densities of the nodes that hold them, but in no sum. Inline elements are part of the
     text of their block.
@@ -116,6 +142,7 @@ def measure(nodes: list[Node]) -> Node:
             up.chars, up.tags = up.chars + node.chars, up.tags + node.tags + 1
             up.link_chars, up.link_tags = up.link_chars + node.link_chars, up.link_tags + node.link_tags
             up.block = up.block or node.block
+    prune(nodes)
     body = next((n for n in nodes if n.tag == "body"), nodes[0])
     page_links = body.link_chars / body.chars if body.chars else 0.0
     for node in nodes:

@@ -150,6 +150,17 @@ def test_main_text_by_density(page, text):
     assert main_text.extract_text(f"<body>{MENU}{page}</body>").split("\n") == text
 
 
+@pytest.mark.parametrize("wrapper", [
+    "div class='layout with-sidebar'", "div class='page comments-open'", "div id=content class=has-header", "div class=ad-free", "form action=x",
+    "div class=widget", "div aria-hidden=true",
+])
+@pytest.mark.parametrize("inner", ["article", "div"])
+def test_main_text_of_named_wrappers(wrapper, inner):
+    page = f"<{wrapper}><{inner}><p>{words_of(1, 30)}</p><p>{words_of(2, 30)}</p></{inner}></{wrapper.split()[0]}>"
+    noise = "<div class='comments'><article><p>First!</p></article></div><footer><p>All rights</p></footer>"
+    assert main_text.extract_text(f"<head><title>T</title><body>{MENU}{page}{noise}</body>") == words_of(1, 30) + "\n" + words_of(2, 30)
+
+
 def test_main_text_rows(spark):
     pages = spark.createDataFrame([(1, "u", None, "k"), (1, "u", None, "k"), (None, None, "<p>x</p>", "k")], "page_id long, url string, html string, text string")
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in main_text.extract(pages).collect()) == [(0, "x", 1), (1, "", 0), (1, "", 0)]
