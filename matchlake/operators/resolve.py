@@ -300,8 +300,28 @@ def _sorted_words(text: Column) -> Column:
     return F.array_join(F.array_sort(F.filter(words, lambda w: w != "")), " ")
 
 
-# Two texts that score 85 or more, whole or in part, leave at most this share of the shorter one's letter pairs unmatched.
-_LOST_PAIRS = 0.54
+# Two texts that score 85 or more, whole or in part: one of them leaves at most these shares of its length unmatched in
+# letters (2 - 2 / 1.155, if the other is that much shorter), and in pairs of adjacent letters, of which a letter ends two.
+_LOST_LETTERS, _LOST_PAIRS = 0.27, 0.54
+
+
+def _set_of_words(text: Column) -> Column:
+    return F.array_join(F.array_distinct(F.split(text, " ")), " ")
+
+
+def _numbered_letters(text: Column) -> Column:
+    """The letters of a text, each with how often it has come up so far: arrays of them intersect as multisets do."""
+    sorted_letters = F.array_sort(F.regexp_extract_all(text, F.lit("[^ ]"), F.lit(0)))
+    return F.transform(sorted_letters, lambda c, i: F.concat(F.lit("#"), c, (i - F.array_position(sorted_letters, c)).cast("string")))
+
+
+def _can_reach(one: Column, other: Column) -> Column:
+    """Whether one of two texts finds enough of its letters in the other; holds for every pair with the score."""
+    def found_in(a: Column, b: Column) -> Column:
+        letters = _numbered_letters(_set_of_words(a))
+        return F.size(F.array_intersect(letters, _numbered_letters(b))) >= F.size(letters) - F.length(a) * F.lit(_LOST_LETTERS)
+
+    return found_in(one, other) | found_in(other, one)
 
 
 def _token_candidates(terms: DataFrame, names: DataFrame) -> DataFrame:
@@ -309,29 +329,36 @@ def _token_candidates(terms: DataFrame, names: DataFrame) -> DataFrame:
 
     Such a pair keeps more than the losable share of the letter pairs inside the words of one of the two texts, so it
     shares one of any larger choice of them. The rarest are chosen, so that a common word or letter pair does not bring
-    everybody together. A text with too few letter pairs (initials) is looked up by its words instead.
+    everybody together. A text with too few letter pairs (short words) looks by the rarest of its numbered letters, by the
+    same argument; of a text that repeats words also by those of its set of words.
     """
-    term_grams = _by_rarity(terms, "term", F.concat(ngrams(F.col("term"), 2), ngrams(F.col("term"), 1)))
+    def grams(column: str) -> Column:
+        return F.concat(F.filter(ngrams(F.col(column), 2), lambda g: ~F.contains(g, F.lit(" "))), _numbered_letters(F.col(column)))
+
+    term_grams = _by_rarity(terms, "term", grams("term"))
     texts = names.select("names_id", F.explode(F.array_distinct(F.array("words", "full", "uniq"))).alias("text")).where("text <> ''")
-    text_grams = _by_rarity(texts, "text", F.concat(ngrams(F.col("text"), 2), ngrams(F.col("text"), 1)))
+    text_grams = _by_rarity(texts, "text", grams("text"))
 
     def marked(mark: str, values: Column) -> Column:
         return F.transform(values, lambda v: F.concat(F.lit(mark), v))
 
+    def rarest(values: Column, text: Column, share: float) -> Column:
+        return F.slice(values, F.lit(1), F.floor(F.length(text) * F.lit(share)).cast("int") + 1)
+
     def keys(name: str, own: str, other: str) -> Column:
         """Keys by which this text looks for others (``own``) and by which others find it (``other``)."""
         every = F.transform("grams", lambda x: x["gram"])
-        inside = F.filter(every, lambda g: ((F.length(g) == 2) & ~F.contains(g, F.lit(" "))) | (F.length(name) == 1))
-        count = F.floor(F.length(name) * F.lit(_LOST_PAIRS)).cast("int") + 1
-        words = F.split(name, " ")
-        too_few = F.when(F.size(inside) < count, marked(own + "w", words)).otherwise(F.array().cast("array<string>"))
-        return F.concat(
-            marked(own, F.slice(inside, F.lit(1), count)), too_few, marked(other, every), marked(other + "w", words)
-        )
+        letters = F.filter(every, lambda g: g.startswith("#"))
+        inside = F.filter(every, lambda g: ~g.startswith("#"))
+        words = _set_of_words(F.col(name))
+        of_set = F.filter(letters, lambda g: F.array_contains(_numbered_letters(words), g))
+        by_letters = F.array_union(rarest(letters, F.col(name), _LOST_LETTERS), rarest(of_set, words, _LOST_LETTERS))
+        enough = F.size(inside) > F.floor(F.length(name) * F.lit(_LOST_PAIRS))
+        return F.concat(marked(own, F.when(enough, rarest(inside, F.col(name), _LOST_PAIRS)).otherwise(by_letters)), marked(other, every))
 
     asked = term_grams.select("term", F.explode(keys("term", "t:", "n:")).alias("key"))
     offered = text_grams.select("text", F.explode(keys("text", "n:", "t:")).alias("key"))
-    found = asked.join(offered, "key").select("term", "text").distinct()
+    found = asked.join(offered, "key").select("term", "text").distinct().where(_can_reach(F.col("term"), F.col("text")))
     return found.join(texts, "text").select("term", "names_id").distinct()
 
 

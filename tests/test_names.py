@@ -116,3 +116,30 @@ def test_token_match_equals_brute_force(spark):
     assert {(r.search_name, r.identifier) for r in got.collect()} == want
     with pytest.raises(ValueError):
         rs.match_tokens(players, players, 50)
+
+
+def test_token_match_of_short_words(spark):
+    rnd = random.Random(7)
+    full = ["ab cd ef gh", "a b c d e", "a", "aa aa aa b", "x yz x yz x yz q", "li wu"] + [
+        " ".join("".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 3))) for _ in range(rnd.randint(1, 6))) for _ in range(60)]
+    terms = {"axb cxd exf gxh", "a b c d", "a a a a b", "x yz q"}
+    for t in full:
+        k = rnd.randrange(len(t) + 1)
+        terms |= {t[:k] + rnd.choice("abx ") + t[k:], t[:k] + t[k + 1:], t}
+
+    def words(t):
+        return " ".join(sorted(t.lower().split()))
+
+    terms = sorted(t for t in terms if words(t))
+    people = [(k, words(" ".join(dict.fromkeys(t.split()))), words(t), words(t)) for k, t in enumerate(full)]
+    want = {
+        (words(t), k) for t in terms for k, unique_words, name, _ in people
+        if max(rs._token_set(words(t), unique_words), rs._partial(words(t), name)) >= 85
+    }
+    names = spark.createDataFrame(people, "names_id long, words string, full string, uniq string")
+    got = rs._token_candidates(spark.createDataFrame([(words(t),) for t in terms], "term string"), names).collect()
+    assert (words("axb cxd exf gxh"), 0) in want
+    assert want - {(r.term, r.names_id) for r in got} == set()
+    player = spark.createDataFrame([("p", "ab cd ef gh", "ab cd ef gh", "ab cd ef gh")], "identifier string, name string, unique_name string, full_name string")
+    found = rs.match_tokens(spark.createDataFrame([("axb cxd exf gxh",)], "search_name string"), player)
+    assert rows(found, "identifier", "score") == [("p", 85)]
