@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchlake.fixed_values import HISTOGRAM_BINS, PIE_SLICES, TOP_SLICES
+from matchlake.functions.numbers import magnitude_bucket
 from matchlake.operators.maintain import assign_key
-from matchlake.operators.ranking import cumulative, null_safe_join, quantiles
+from matchlake.operators.ranking import cumulative, null_safe_join, quantiles, running_total
 
 BOX_QUANTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -164,29 +165,27 @@ def _bounds(df: DataFrame, column: str) -> tuple[Column, Column]:
     return ends.select("low").scalar(), ends.select("high").scalar()
 
 
-def trend_lowess(
-    df: DataFrame, x: str, y: str, frac: float = 2 / 3, grid: int = 50, bins: int = 1024
-) -> DataFrame:
+def trend_lowess(df: DataFrame, x: str, y: str, frac: float = 2 / 3, grid: int = 50) -> DataFrame:
     """Locally weighted line (tricube weights, no robustness rounds) at ``grid`` evenly spaced places.
 
-    Rows are first reduced to at most ``bins`` places with their sums, so each grid place weighs a bounded list.
+    Rows are first reduced to the distinct x with their sums. How far a place reaches comes from counts accumulated over
+    buckets of the distance, so no task sees all distances of a place.
     """
     data = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
         F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")
     )
     low, high = _bounds(data, "x")
-    placed = data.withColumn("low", low).withColumn("high", high)
-    points = placed.groupBy(_bin(F.col("x"), F.col("low"), F.col("high"), bins).alias("bin"), "low", "high").agg(
-        (F.sum("x") / F.count(F.lit(1))).alias("x"), F.count(F.lit(1)).alias("n"), F.sum("y").alias("sy")
-    )
-    spread = points.select("*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i")).withColumn(
+    points = data.groupBy("x").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("sy"))
+    spread = points.withColumn("low", low).withColumn("high", high).select(
+        "*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i")
+    ).withColumn(
         "at", F.col("low") + (F.col("high") - F.col("low")) * F.col("i") / (grid - 1)
     ).withColumn("d", F.abs(F.col("x") - F.col("at")))
-    nearest = Window.partitionBy("i").orderBy("d", "x").rowsBetween(Window.unboundedPreceding, 0)
-    everything = Window.partitionBy("i")
-    reached = spread.withColumn("upto", F.sum("n").over(nearest)).withColumn("all", F.sum("n").over(everything))
-    needed = F.floor(F.col("all") * F.lit(frac) + 1e-10)
-    reach = reached.withColumn("h", F.min(F.when(F.col("upto") >= needed, F.col("d"))).over(everything))
+    distances = spread.groupBy("i", "d").agg(F.sum("n").alias("n"))
+    before = running_total(distances, ["i"], magnitude_bucket(F.col("d")), [F.col("d")], F.col("n"), "before")
+    needed = F.floor(points.agg(F.sum("n").alias("all")).scalar() * F.lit(frac) + 1e-10)
+    reaches = before.where(F.col("before") + F.col("n") >= needed).groupBy("i").agg(F.min("d").alias("h"))
+    reach = spread.join(reaches, "i").where((F.col("d") < F.col("h")) | (F.col("d") == 0))
     u = F.col("d") / F.col("h")
     weight = F.when(F.col("h") > 0, F.when(u < 1, F.pow(1 - F.pow(u, F.lit(3)), F.lit(3))).otherwise(0.0)).otherwise(
         (F.col("d") == 0).cast("double")

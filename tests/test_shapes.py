@@ -44,6 +44,19 @@ def test_lowess_follows_a_line(spark):
         assert abs(r.smoothed - (3 * r.x + 2)) < 1e-6
 
 
+def test_lowess_with_a_far_out_x(spark):
+    xs, ys = np.append(np.arange(3000) / 7.0, 1e6), np.append(np.sin(np.arange(3000) / 200.0), 5.0)
+    df = spark.createDataFrame(list(zip(xs.tolist(), ys.tolist())), "x double, y double")
+    for r in sh.trend_lowess(df, "x", "y", frac=0.1).collect():
+        d = np.abs(xs - r.x)
+        h = np.sort(d)[int(len(xs) * 0.1) - 1]
+        w = np.clip(1 - (d / h) ** 3, 0, None) ** 3
+        mean = (w * xs).sum() / w.sum()
+        my = (w * ys).sum() / w.sum()
+        spread = (w * (xs - mean) ** 2).sum()
+        assert abs(r.smoothed - (my + (w * (xs - mean) * (ys - my)).sum() / spread * (r.x - mean))) < 1e-3 * max(1, abs(r.smoothed))
+
+
 def test_heatmap_shows_every_place(spark):
     df = spark.createDataFrame([("a", i, 1.0 * i) for i in range(1500)] + [("b", 7, 3.0), ("b", 7, 5.0), (None, 1, 1.0)], "y string, x int, z double")
     got = {(r.y, r.x): r["mean"] for r in sh.heatmap(df, "x", "y", "z").collect()}
