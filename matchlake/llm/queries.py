@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from matchlake.llm import (
-    chat, embedding_dedup, main_text, mixing, packing, ppm, prefix_join, quality, secrets, toxicity,
+    chat, embedding_dedup, main_text, mixing, packing, ppm, prefix_join, quality, secrets, suffix_buckets, toxicity,
 )
 from matchlake.llm.check_sql import CHECK_SQL
 
@@ -84,10 +84,15 @@ def op10_ppm_language(spark: SparkSession, folder: str) -> DataFrame:
     return ppm.identify(docs, ~held_out).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
+def op11_suffix_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without passages of 400 bytes that occur twice."""
+    return suffix_buckets.remove_repeats(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_toxicity, op2_chat_format, op3_source_mix, op4_quality_divergence, op5_secret_scan, op6_prefix_join, op7_sign_hash_dedup,
-        op8_text_density, op9_best_fit_packing, op10_ppm_language,
+        op8_text_density, op9_best_fit_packing, op10_ppm_language, op11_suffix_buckets,
     )
 } | {"pipeline": corpus_pipeline.run}
