@@ -52,4 +52,48 @@ SELECT *, md5(coalesce(doc_id::VARCHAR, '') || ':' || copy || ':order 17') AS sh
 FROM (SELECT *, unnest(range(1, copies + 1))::INTEGER AS copy FROM counted WHERE copies > 0)
 """
 
-CHECK_SQL = {"op2_chat_format": OP2, "op3_source_mix": OP3}
+OP13 = r"""
+WITH placed AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT conv_id, conv_id - conv_id % 100 AS base,
+           xor(4294967295::BIGINT, list_reduce(
+               list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+               lambda sum, byte: list_reduce(
+                   list_concat([xor(sum, byte)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                   lambda bits, step: CASE WHEN bits & 1 = 1 THEN xor(bits >> 1, 3988292384::BIGINT) ELSE bits >> 1 END
+               )
+           )) % 6 AS h
+    FROM (SELECT DISTINCT conv_id FROM placed)
+), pieces AS (
+    SELECT c.conv_id, p.place, p.role, p.text FROM convs c JOIN placed p ON p.conv_id = c.base AND p.place <= c.h
+    UNION ALL SELECT c.conv_id, p.place, p.role, p.text FROM convs c JOIN placed p ON p.conv_id = c.conv_id AND p.place > c.h
+), turns AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY place) AS depth, length(text) AS chars,
+           sha256(length(role) || ':' || role || text) AS digest
+    FROM pieces
+), prefixes AS (
+    SELECT conv_id, depth, chars, sha256(string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS node FROM turns
+    UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+), linked AS (
+    SELECT *, lag(node) OVER w AS parent, list(node) OVER w AS line, lead(node) OVER w IS NULL AS last
+    FROM prefixes WINDOW w AS (PARTITION BY conv_id ORDER BY depth)
+), nodes AS (
+    SELECT node, any_value(depth) AS depth, any_value(chars) AS chars, any_value(parent) AS parent, any_value(line) AS line,
+           min(conv_id) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+    FROM linked GROUP BY node
+), families AS (
+    SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+), below AS (
+    SELECT top AS node, count(*) FILTER (f.n_children IS NULL) AS n_leaves, sum((n_convs - 1) * chars) AS saved_tokens
+    FROM (SELECT node, n_convs, chars, unnest(line) AS top FROM nodes) LEFT JOIN families f USING (node) GROUP BY top
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       coalesce(f.n_children, 0)::BIGINT AS n_children, b.n_leaves::BIGINT AS n_leaves, b.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b USING (node) LEFT JOIN families f USING (node) LEFT JOIN nodes p ON p.node = n.parent
+"""
+
+CHECK_SQL = {"op2_chat_format": OP2, "op3_source_mix": OP3, "op13_prefix_trie": OP13}

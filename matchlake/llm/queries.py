@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from matchlake.llm import (
-    chat, embedding_dedup, main_text, mixing, packing, ppm, prefix_join, quality, secrets, suffix_buckets, toxicity,
+    chat, embedding_dedup, main_text, mixing, packing, ppm, prefix_join, prefix_trie, quality, secrets, suffix_buckets, toxicity, whitening,
 )
 from matchlake.llm.check_sql import CHECK_SQL
 
@@ -89,10 +89,21 @@ def op11_suffix_buckets(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_buckets.remove_repeats(table(spark, folder, "documents"))
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Eight whitened components of every vector."""
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """What the rebuilt conversations share, node by node."""
+    return prefix_trie.trie(prefix_trie.spliced(prefix_trie.paths(table(spark, folder, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_toxicity, op2_chat_format, op3_source_mix, op4_quality_divergence, op5_secret_scan, op6_prefix_join, op7_sign_hash_dedup,
-        op8_text_density, op9_best_fit_packing, op10_ppm_language, op11_suffix_buckets,
+        op8_text_density, op9_best_fit_packing, op10_ppm_language, op11_suffix_buckets, op12_whitening,
+        op13_prefix_trie,
     )
 } | {"pipeline": corpus_pipeline.run}

@@ -18,3 +18,12 @@ def stored(df: DataFrame) -> DataFrame:
     folder = f"{context.getCheckpointDir().rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` wrote, once all that is made of them has itself been written."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.llm.shingles import mix, slices
-from matchlake.llm.storing import stored
+from matchlake.llm.storing import discard, stored
 
 LENGTH = 400
 #: Texts are taken in slices of so many bytes, which stay in a processor's cache; a longer text in pieces with the bytes around.
@@ -263,15 +263,23 @@ def _several(rows: DataFrame, name: str, *more: Column) -> DataFrame:
 
 
 def _settled(rows: DataFrame, width: int) -> tuple[DataFrame, DataFrame | None]:
-    """Suffix ranges (``key``, ``first``, ``last``) of the open cells now known to be repeated, and the cells that go on."""
+    """Suffix ranges (``key``, ``first``, ``last``) of the open cells now known to be repeated, and the cells that go on.
+
+    ``rows`` is a stored table and is deleted.
+    """
     shared = stored(_several(rows, "outer"))
-    told = stored(rows.join(shared, "outer", "left"))
-    repeated = told.where("open AND witness IS NOT NULL").select("key", (F.col("a") - F.col("hi")).alias("first"), (F.col("a") - F.col("lo")).alias("last"))
+    told = stored(rows.join(shared, "outer", "left").drop("outer"))
+    discard(rows, shared)
+    repeated = stored(told.where("open AND witness IS NOT NULL").select(
+        "key", (F.col("a") - F.col("hi")).alias("first"), (F.col("a") - F.col("lo")).alias("last")))
     if width == 1:
+        discard(told)
         return repeated, None
     live = told.where((F.col("witness").isNull()) | (F.col("witness") == _place())).withColumn("open", F.col("open") & F.col("witness").isNull())
     buckets = stored(_several(live, "inner", F.max("open").alias("asked")).where("asked").select("inner"))
-    return repeated, live.join(buckets, "inner", "left_semi").drop("inner", "outer", "witness")
+    going = stored(live.join(buckets, "inner", "left_semi").drop("inner", "witness"))
+    discard(told, buckets)
+    return repeated, going
 
 
 def repeated_ranges(docs: DataFrame, settled: DataFrame | None = None, length: int = LENGTH, piece: int = PIECE) -> tuple[DataFrame, DataFrame]:
@@ -290,8 +298,10 @@ def repeated_ranges(docs: DataFrame, settled: DataFrame | None = None, length: i
     if settled is not None:
         rows = rows.join(settled.select("key", F.lit(False).alias("open")), "key", "left")
     rows = stored(rows.withColumn("open", F.coalesce("open", F.lit(True)) if settled is not None else F.lit(True)))
+    discard(marks, shared)
+    none = rows.limit(0).drop("inner", "outer")
     found, going = _settled(rows, steps[0])
-    going = stored(going if going is not None else rows.limit(0).drop("inner", "outer"))
+    going = none if going is None else going
     ranges = [found]
 
     keys = going.select("key").unionByName(found.select("key")).distinct()
@@ -299,13 +309,15 @@ def repeated_ranges(docs: DataFrame, settled: DataFrame | None = None, length: i
     concerned = stored(distinct.join(stored(keys), "key", "left_semi"))
     marked = going.groupBy("key").agg(F.collect_list(F.struct("a", "lo", "hi", "open")).alias("marks"))
     around = stored(_surroundings(concerned.join(marked, "key"), length))
+    discard(going)
     cells = around.select("key", "a", "lo", "hi", "open", F.lit(0).alias("cell"), "before", "around")
     for parent, width in zip(steps, steps[1:]):
         named = stored(_cells(cells, width, parent, length))
         found, going = _settled(named, width)
         ranges.append(found)
         if going is not None:
-            cells = stored(going).join(around.select("key", "a", "before", "around").dropDuplicates(["key", "a"]), ["key", "a"])
+            cells = going.join(around.select("key", "a", "before", "around").dropDuplicates(["key", "a"]), ["key", "a"])
+    discard(around)
     every = ranges[0]
     for more in ranges[1:]:
         every = every.unionByName(more)
@@ -364,6 +376,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, piece: int = PIECE) ->
     # A text that stands in several rows is repeated as a whole.
     nothing = copies.select("key", F.lit(None).cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.sha2(F.lit(b""), 256).alias("kept_sha256"))
     verdict = stored(cut.unionByName(nothing))
+    discard(concerned, copies)
     told = narrow.withColumn("key", key).join(verdict, "key", "left")
     touched = F.col("n_spans").isNotNull()
     return told.select(
