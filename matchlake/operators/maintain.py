@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.operators.ranking import null_safe_join, number_by_hash
+from matchlake.operators.ranking import null_safe_join, number_by_hash, running_total
 from matchlake.session import cut_lineage
 
 
@@ -81,23 +81,39 @@ def assign_key(
     )
 
 
-# Room for 99 innings in a match, 9,999 overs in an innings, 99 balls in an over; loading checks the limits.
-INNINGS_PER_MATCH, OVERS_PER_INNINGS, BALLS_PER_OVER, WICKETS_PER_BALL = 100, 10_000, 100, 10
+# What a match needs keys for: a count column, and the column with the last key before its own.
+KEY_RANGES = {"n_innings": "before_innings", "n_balls": "before_balls", "n_wickets": "before_wickets"}
+_RANGE_BUCKET = 1 << 16
 
 
-def inning_key(match_no: Column, inning_number: Column) -> Column:
-    """Key of an innings, from the number of its match."""
-    return match_no.cast("long") * INNINGS_PER_MATCH + inning_number
+def _continued(numbered: DataFrame) -> DataFrame:
+    """Add the key ranges of matches in order of match_no, without gaps, from 1."""
+    for count, before in KEY_RANGES.items():
+        numbered = running_total(numbered, [], F.floor(F.col("match_no") / _RANGE_BUCKET), [F.col("match_no")], F.col(count).cast("long"), before)
+    return numbered
 
 
-def delivery_key(inning_id: Column, over: Column, ball: Column) -> Column:
-    """Key of a ball. Arithmetic on what the row holds already, so the fact is never sorted or joined to number it."""
-    return inning_id.cast("long") * (OVERS_PER_INNINGS * BALLS_PER_OVER) + over * BALLS_PER_OVER + ball
+def assign_ranges(numbered: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """``match_id``, ``match_no`` and the counts of ``KEY_RANGES``, with the range of keys of each match.
 
-
-def wicket_key(delivery_id: Column, place: Column) -> Column:
-    """Key of a dismissal: the ball's key and its place on that ball, from 1."""
-    return delivery_id * WICKETS_PER_BALL + place
+    A running total over the matches, so a key is one addition to a place in the match's own row and has no limit but
+    that of a long. Ranges in ``existing`` (the same columns, of an earlier load) stay as long as a match has room in its
+    own; a match that has grown out of it gets a new one behind all others, as new matches do.
+    """
+    numbered = numbered.select("match_id", "match_no", *KEY_RANGES)
+    if existing is None or not set(KEY_RANGES.values()) <= set(existing.columns):
+        return _continued(numbered)
+    old = existing.select("match_id", *[F.col(c).alias(f"_old_{c}") for c in [*KEY_RANGES, *KEY_RANGES.values()]])
+    fits = F.lit(True)
+    for count in KEY_RANGES:
+        fits = fits & (F.col(count) <= F.col(f"_old_{count}"))
+    placed = numbered.join(old, "match_id", "left").withColumn("_fits", F.coalesce(fits, F.lit(False)))
+    kept = placed.where("_fits").select("match_id", "match_no", *[F.col(f"_old_{c}").alias(c) for c in [*KEY_RANGES, *KEY_RANGES.values()]])
+    new = _continued(placed.where("NOT _fits").select("match_id", "match_no", *KEY_RANGES))
+    for count, before in KEY_RANGES.items():
+        last = existing.agg(F.coalesce(F.max(F.col(before) + F.col(count)), F.lit(0).cast("long")).alias("last")).scalar()
+        new = new.withColumn(before, F.col(before) + last)
+    return kept.unionByName(new)
 
 
 def attach_key(df: DataFrame, dim: DataFrame, on: dict[str, str], key: str, out: str) -> DataFrame:

@@ -1,22 +1,22 @@
 """From typed match documents to the star tables and the ball fact.
 
-``docs`` has match_id, match_no, info and innings (see sources.documents). A match is one row, so what belongs to one
-match is looked up, checked and made unique inside that row; the ball tables are plain explosions of it, with keys made
-by arithmetic, and need no shuffle at all.
+``docs`` has match_id, info, innings and, for tables with keys, the key ranges of sources.documents.number_matches. A match
+is one row, so what belongs to one match is looked up, checked and made unique inside that row: its balls become one list in
+document order, and the ball tables are explosions of that list, or of what stands on its balls. A key is the match's range
+and the place in the list; nothing is shuffled. Each table explodes once, and names are looked up behind that explosion.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.fixed_values import UNCREDITED_KINDS
 from matchlake.functions.matches import outcome_cols, present, season_col
 from matchlake.functions.plan import with_once
-from matchlake.operators.maintain import (
-    BALLS_PER_OVER, INNINGS_PER_MATCH, OVERS_PER_INNINGS, WICKETS_PER_BALL, attach_key, delivery_key, inning_key,
-    wicket_key,
-)
+from matchlake.operators.maintain import attach_key
 
 def _no_names() -> Column:
     return F.array().cast("array<string>")
@@ -32,7 +32,7 @@ def _registry() -> Column:
 
 def _person(name: Column, registry: Column | None = None) -> Column:
     """Identifier of a name in the match's own registry; an empty one counts as none."""
-    return F.nullif(F.try_element_at(F.col("registry") if registry is None else registry, name), F.lit(""))
+    return F.nullif(F.try_element_at(_registry() if registry is None else registry, name), F.lit(""))
 
 
 def teams(docs: DataFrame) -> DataFrame:
@@ -114,9 +114,9 @@ def matches(docs: DataFrame, teams: DataFrame, venues: DataFrame) -> DataFrame:
 
 def match_players(docs: DataFrame, teams: DataFrame) -> DataFrame:
     """Players of each match with their team; a player named for two teams stays with the first known one."""
-    lists = docs.select("match_id", _registry().alias("registry"), F.posexplode("info.players").alias("place", "team", "names"))
-    people = lists.select("match_id", "place", F.trim("team").alias("team"), F.explode("names").alias("name"), "registry")
-    found = people.select("match_id", "place", "team", _person(F.col("name")).alias("player_identifier"))
+    named = F.transform(F.map_entries("info.players"), lambda e: F.struct(F.trim(e["key"]).alias("team"), F.transform(e["value"], lambda n: _person(n)).alias("people")))
+    lists = docs.select("match_id", F.posexplode(named).alias("place", "side"))
+    found = lists.select("match_id", "place", F.col("side.team").alias("team"), F.explode("side.people").alias("player_identifier"))
     known = attach_key(found.where("player_identifier IS NOT NULL"), teams, {"team": "team_name"}, "team_id", "team_id")
     return known.where("team_id IS NOT NULL").groupBy("match_id", "player_identifier").agg(
         F.min_by("team_id", "place").alias("team_id")
@@ -125,18 +125,16 @@ def match_players(docs: DataFrame, teams: DataFrame) -> DataFrame:
 
 def awards(docs: DataFrame) -> DataFrame:
     """Players of the match."""
-    names = docs.select("match_id", _registry().alias("registry"), F.explode("info.player_of_match").alias("name"))
-    return names.select("match_id", _person(F.col("name")).alias("player_identifier")).where(
-        "player_identifier IS NOT NULL"
-    )
+    people = F.transform("info.player_of_match", lambda n: _person(n))
+    return docs.select("match_id", F.explode(people).alias("player_identifier")).where("player_identifier IS NOT NULL")
 
 
 def officials(docs: DataFrame) -> DataFrame:
     """Officials of each match by role, each once per role."""
-    roles = docs.select("match_id", _registry().alias("registry"), F.explode("info.officials").alias("match_role", "names"))
-    people = F.array_distinct(F.transform("names", lambda n: _person(n)))
+    named = F.transform_values("info.officials", lambda _, names: F.array_distinct(F.transform(names, lambda n: _person(n))))
+    roles = docs.select("match_id", F.explode(named).alias("match_role", "people"))
     return (
-        roles.select("match_id", "match_role", F.explode(people).alias("official_identifier"))
+        roles.select("match_id", "match_role", F.explode("people").alias("official_identifier"))
         .where("official_identifier IS NOT NULL")
         .select("match_id", "official_identifier", "match_role")
     )
@@ -148,16 +146,15 @@ def _sides_known() -> Column:
 
 
 def _innings_rows(docs: DataFrame) -> DataFrame:
-    """Innings whose two sides are known, with the match's registry; numbered in document order from 1."""
+    """Innings whose two sides are known; numbered in document order from 1."""
     rows = docs.where(_sides_known()).select(
-        "match_id", "match_no", F.transform("info.teams", lambda n: F.trim(n)).alias("sides"), _registry().alias("registry"),
-        season_col(F.col("info.season"), F.col("info.dates")).alias("season_year"),
-        F.posexplode("innings").alias("place", "inning"),
+        "match_id", "before_innings", F.transform("info.teams", lambda n: F.trim(n)).alias("sides"),
+        F.posexplode(F.transform("innings", lambda i: i.dropFields("overs"))).alias("place", "inning"),
     )
     return rows.where(present(F.trim("inning.team"))).select(
         "*",
         (F.col("place") + 1).alias("inning_number"),
-        inning_key(F.col("match_no"), F.col("place") + 1).alias("inning_id"),
+        (F.col("before_innings") + F.col("place") + 1).alias("inning_id"),
         F.trim("inning.team").alias("batting_team"),
         F.coalesce("inning.super_over", F.lit(False)).alias("is_super_over"),
     )
@@ -190,34 +187,75 @@ def powerplays(docs: DataFrame) -> DataFrame:
     )
 
 
-def _ball_rows(docs: DataFrame) -> DataFrame:
-    """Balls of the known innings with their people looked up.
+def _joined_up(lists: Column) -> Column:
+    """The lists of a list, one after the other; NULL ones are empty."""
+    return F.flatten(F.filter(lists, lambda x: x.isNotNull()))
+
+
+def _ball_list() -> Column:
+    """All balls of a match in document order: ``ball`` as it stands, and ``at``, its place in the match."""
+    overs = _joined_up(F.col("innings.overs"))
+    balls = _joined_up(overs["deliveries"])
+
+    def spread(inning: Column, of_over: Callable[[Column], Column]) -> Column:
+        bowled = F.filter(inning["overs"], lambda over: F.size(over["deliveries"]) > 0)
+        return _joined_up(F.transform(bowled, of_over))
+
+    def places(inning: Column, number: Column) -> Column:
+        return spread(inning, lambda over: F.array_repeat(F.struct(
+            (number + 1).alias("inning_number"), F.trim(inning["team"]).alias("team"), inning["super_over"].alias("super_over"),
+            over["over"].alias("over_number")), F.size(over["deliveries"])))
+
+    numbers = F.transform("innings", lambda inning: spread(inning, lambda over: F.sequence(F.lit(1), F.size(over["deliveries"]))))
+    # Three lists in the same order, so a ball has the same place in each; nothing is evaluated ball by ball.
+    return F.arrays_zip(balls.alias("ball"), _joined_up(F.transform("innings", places)).alias("at"), _joined_up(numbers).alias("ball_number"))
+
+
+def _exploded(docs: DataFrame, list_: Column) -> DataFrame:
+    """Rows (``row``) of a list of a match, with their ``place`` in it from 0, and the match's registry, season and key ranges."""
+    ranges = ["match_id", "before_innings", "before_balls", "before_wickets"]
+    season = season_col(F.col("info.season"), F.col("info.dates"))
+    # In two steps, so that a row carries its match's registry and season, not all of ``info``.
+    narrow = docs.where(_sides_known()).select(*ranges, _registry().alias("registry"), season.alias("season_year"), "innings")
+    return narrow.select(*ranges, "registry", "season_year", F.posexplode(list_).alias("place", "row"))
 
-    A ball without a batter, bowler or partner is left out, but it has taken its number in the over.
+
+def _located(rows: DataFrame, place: Column) -> DataFrame:
+    """Rows with their ball's people and keys, for balls that load.
+
+    A ball of an innings without a team, or without batter, bowler or partner, is left out; it has taken its key and its
+    number in the over.
     """
-    overs = _innings_rows(docs).select(
-        "match_id", "season_year", "inning_id", "inning_number", "is_super_over", "batting_team", "registry",
-        F.posexplode("inning.overs").alias("over_place", "over"),
-    )
-    # The list is a column of its own before it is exploded, so that a ball does not carry its whole over along.
-    lists = overs.withColumn("over_number", F.col("over.over")).withColumn("list", F.col("over.deliveries")).drop("over")
-    balls = lists.select(
-        *[c for c in lists.columns if c != "list"], F.posexplode("list").alias("ball_place", "ball")
-    )
-    people = F.struct(
-        _person(F.col("ball.batter")).alias("batter"), _person(F.col("ball.bowler")).alias("bowler"),
-        _person(F.col("ball.non_striker")).alias("non_striker"),
-    )
-    named = with_once(balls, "people", people).select(
+    played = rows.where(present(F.col("row.at.team")))
+    people = F.struct(*[_person(F.col(f"row.ball.{name}"), F.col("registry")).alias(name) for name in ("batter", "bowler", "non_striker")])
+    return with_once(played, "people", people).dropna(subset=["people.batter", "people.bowler", "people.non_striker"]).select(
         "*", "people.*",
-        (F.col("ball_place") + 1).alias("ball_number"),
-        delivery_key(F.col("inning_id"), F.col("over_place"), F.col("ball_place") + 1).alias("delivery_id"),
+        F.col("row.at.team").alias("batting_team"), F.coalesce("row.at.super_over", F.lit(False)).alias("is_super_over"),
+        F.col("row.at.inning_number").alias("inning_number"), F.col("row.at.over_number").alias("over_number"),
+        F.col("row.ball_number").alias("ball_number"),
+        (F.col("before_innings") + F.col("row.at.inning_number")).alias("inning_id"), (F.col("before_balls") + place + 1).alias("delivery_id"),
     )
-    return named.dropna(subset=["batter", "bowler", "non_striker"])
 
 
-def _extra(name: str) -> Column:
-    return F.coalesce(f"ball.extras.{name}", F.lit(0))
+def _ball_rows(docs: DataFrame) -> DataFrame:
+    return _located(_exploded(docs, _ball_list()), F.col("place"))
+
+
+def _on_balls(docs: DataFrame, of_ball: Callable[[Column], Column]) -> DataFrame:
+    """Rows of the lists that ``of_ball`` makes of each ball, as ``row.entry`` with the ball's people and keys.
+
+    ``place`` is that of the entry among all of the match. Balls without entries never become rows.
+    """
+    def entries(row: Column, place: Column) -> Column:
+        people = F.struct(*[row["ball"][name].alias(name) for name in ("batter", "bowler", "non_striker")])
+        return F.transform(of_ball(row["ball"]), lambda entry: F.struct(
+            entry.alias("entry"), people.alias("ball"), row["at"].alias("at"), row["ball_number"].alias("ball_number"), place.alias("ball_place")))
+
+    return _located(_exploded(docs, _joined_up(F.transform(_ball_list(), entries))), F.col("row.ball_place"))
+
+
+def _extra(name: str, ball: str = "row.ball") -> Column:
+    return F.coalesce(f"{ball}.extras.{name}", F.lit(0))
 
 
 def _json_or_null(value: Column) -> Column:
@@ -232,13 +270,13 @@ def deliveries(docs: DataFrame) -> DataFrame:
         F.col("batter").alias("batter_identifier"),
         F.col("bowler").alias("bowler_identifier"),
         F.col("non_striker").alias("non_striker_identifier"),
-        F.coalesce("ball.runs.batter", F.lit(0)).alias("runs_batter"),
-        F.coalesce("ball.runs.extras", F.lit(0)).alias("runs_extras"),
-        F.coalesce("ball.runs.non_boundary", F.lit(False)).alias("runs_non_boundary"),
-        F.coalesce("ball.runs.total", F.lit(0)).alias("runs_total"),
+        F.coalesce("row.ball.runs.batter", F.lit(0)).alias("runs_batter"),
+        F.coalesce("row.ball.runs.extras", F.lit(0)).alias("runs_extras"),
+        F.coalesce("row.ball.runs.non_boundary", F.lit(False)).alias("runs_non_boundary"),
+        F.coalesce("row.ball.runs.total", F.lit(0)).alias("runs_total"),
         *[_extra(x).alias(f"extras_{x}") for x in ["wides", "noballs", "byes", "legbyes", "penalty"]],
-        _json_or_null(F.col("ball.extras")).alias("raw_extras_json"),
-        _json_or_null(F.col("ball.review")).alias("raw_review_json"),
+        _json_or_null(F.col("row.ball.extras")).alias("raw_extras_json"),
+        _json_or_null(F.col("row.ball.review")).alias("raw_review_json"),
     )
 
 
@@ -247,15 +285,11 @@ def _is_credited(kind: Column, uncredited: list[str]) -> Column:
 
 
 def _wicket_rows(docs: DataFrame, uncredited: list[str]) -> DataFrame:
-    rows = _ball_rows(docs).select(
-        "delivery_id", "bowler", "registry", F.posexplode("ball.wickets").alias("place", "wicket")
-    )
-    return rows.select(
-        wicket_key(F.col("delivery_id"), F.col("place") + 1).alias("wicket_id"), "delivery_id", "registry",
-        _person(F.col("wicket.player_out")).alias("player_out_identifier"),
-        F.col("wicket.kind").alias("kind"),
-        F.when(_is_credited(F.col("wicket.kind"), uncredited), F.col("bowler")).alias("bowler_credited_identifier"),
-        F.col("wicket.fielders").alias("fielders"),
+    kind = F.col("row.entry.kind")
+    return _on_balls(docs, lambda ball: ball["wickets"]).select(
+        (F.col("before_wickets") + F.col("place") + 1).alias("wicket_id"), "delivery_id", "registry", "row",
+        _person(F.col("row.entry.player_out"), F.col("registry")).alias("player_out_identifier"), kind.alias("kind"),
+        F.when(_is_credited(kind, uncredited), F.col("bowler")).alias("bowler_credited_identifier"),
     ).where("player_out_identifier IS NOT NULL")
 
 
@@ -268,7 +302,7 @@ def wickets(docs: DataFrame, uncredited: list[str] = UNCREDITED_KINDS) -> DataFr
 
 def wicket_fielders(docs: DataFrame) -> DataFrame:
     """Fielders of each dismissal, each once."""
-    people = F.array_distinct(F.transform("fielders.name", lambda n: _person(n)))
+    people = F.array_distinct(F.transform("row.entry.fielders.name", lambda n: _person(n, F.col("registry"))))
     return (
         _wicket_rows(docs, UNCREDITED_KINDS)
         .select("wicket_id", F.explode(people).alias("fielder_player_identifier"))
@@ -279,31 +313,24 @@ def wicket_fielders(docs: DataFrame) -> DataFrame:
 def replacements(docs: DataFrame, teams: DataFrame) -> DataFrame:
     """Replacements of both kinds: in the match (team, both players needed) and in a role (only the new one needed)."""
     text = F.lit(None).cast("string")
-    swaps = F.concat(
-        F.transform(
-            _list(F.col("ball.replacements.match"), "array<struct<team:string,in:string,out:string,reason:string>>"),
-            lambda r: F.struct(
-                F.lit("match").alias("type"), F.trim(r["team"]).alias("team"), text.alias("role"),
-                _person(r["in"]).alias("came"), _person(r["out"]).alias("went"), r["reason"].alias("reason"),
-            ),
-        ),
-        F.transform(
-            _list(F.col("ball.replacements.role"), "array<struct<role:string,in:string,out:string,reason:string>>"),
-            lambda r: F.struct(
-                F.lit("role").alias("type"), text.alias("team"), r["role"].alias("role"),
-                _person(r["in"]).alias("came"), _person(r["out"]).alias("went"), r["reason"].alias("reason"),
-            ),
-        ),
-    )
-    rows = _ball_rows(docs).where(F.col("ball.replacements").isNotNull()).select(
-        "match_id", "delivery_id", "inning_id", F.explode(swaps).alias("s")
-    )
-    kept = rows.where(F.col("s.came").isNotNull() & ((F.col("s.type") == "role") | F.col("s.went").isNotNull()))
-    flat = kept.select(
-        "match_id", "delivery_id", "inning_id", F.col("s.team").alias("team"), F.col("s.type").alias("replacement_type"),
-        F.col("s.role").alias("replaced_role"), F.col("s.came").alias("player_in_identifier"),
-        F.col("s.went").alias("player_out_identifier"), F.col("s.reason").alias("reason"),
-    )
+
+    def swaps(ball: Column) -> Column:
+        changes = _list(ball["replacements"]["match"], "array<struct<team:string,in:string,out:string,reason:string>>")
+        roles = _list(ball["replacements"]["role"], "array<struct<role:string,in:string,out:string,reason:string>>")
+        return F.concat(
+            F.transform(changes, lambda r: F.struct(
+                F.lit("match").alias("type"), F.trim(r["team"]).alias("team"), text.alias("role"), r["in"].alias("came"),
+                r["out"].alias("went"), r["reason"].alias("reason"))),
+            F.transform(roles, lambda r: F.struct(
+                F.lit("role").alias("type"), text.alias("team"), r["role"].alias("role"), r["in"].alias("came"),
+                r["out"].alias("went"), r["reason"].alias("reason"))),
+        )
+
+    flat = _on_balls(docs, swaps).select(
+        "match_id", "delivery_id", "inning_id", F.col("row.entry.team").alias("team"), F.col("row.entry.type").alias("replacement_type"),
+        F.col("row.entry.role").alias("replaced_role"), _person(F.col("row.entry.came"), F.col("registry")).alias("player_in_identifier"),
+        _person(F.col("row.entry.went"), F.col("registry")).alias("player_out_identifier"), F.col("row.entry.reason").alias("reason"),
+    ).where("player_in_identifier IS NOT NULL AND (replacement_type = 'role' OR player_out_identifier IS NOT NULL)")
     return attach_key(flat, teams, {"team": "team_name"}, "team_id", "team_id").drop("team")
 
 
@@ -311,17 +338,16 @@ def balls(docs: DataFrame, uncredited: list[str] = UNCREDITED_KINDS) -> DataFram
     """The ball fact of operators.analytics, straight from the documents: no joins, no shuffle."""
     dismissals = F.filter(
         F.transform(
-            _list(F.col("ball.wickets"), "array<struct<player_out:string,kind:string,fielders:array<struct<name:string>>>>"),
-            lambda w: F.struct(_person(w["player_out"]).alias("player_out"), w["kind"].alias("kind")),
+            _list(F.col("row.ball.wickets"), "array<struct<player_out:string,kind:string,fielders:array<struct<name:string>>>>"),
+            lambda w: F.struct(_person(w["player_out"], F.col("registry")).alias("player_out"), w["kind"].alias("kind")),
         ),
         lambda w: w["player_out"].isNotNull(),
     )
-    rows = _ball_rows(docs).withColumn("dismissals", dismissals)
-    return rows.select(
+    return _ball_rows(docs).withColumn("dismissals", dismissals).select(
         "match_id", "inning_id", "inning_number", "is_super_over", "season_year", "batting_team",
         "over_number", "ball_number", "delivery_id", "batter", "non_striker", "bowler",
-        F.coalesce("ball.runs.batter", F.lit(0)).alias("runs_batter"),
-        F.coalesce("ball.runs.total", F.lit(0)).alias("runs_total"),
+        F.coalesce("row.ball.runs.batter", F.lit(0)).alias("runs_batter"),
+        F.coalesce("row.ball.runs.total", F.lit(0)).alias("runs_total"),
         *[_extra(x).alias(x) for x in ["wides", "noballs", "byes", "legbyes"]],
         F.size("dismissals").alias("outs"),
         F.size(F.filter("dismissals", lambda w: w["player_out"] == F.col("batter"))).alias("striker_outs"),
@@ -371,7 +397,7 @@ def raw_deliveries(docs: DataFrame) -> DataFrame:
         "match_id", (F.col("i") + 1).alias("inning_number"), (F.col("o") + 1).alias("over_place"),
         (F.col("b") + 1).alias("ball_number"), F.col("ball.batter").alias("batter"), F.col("ball.bowler").alias("bowler"),
         F.col("ball.runs.batter").alias("runs_batter"), F.col("ball.runs.total").alias("runs_total"),
-        *[_extra(x).alias(x) for x in ["wides", "noballs", "byes", "legbyes"]],
+        *[_extra(x, "ball").alias(x) for x in ["wides", "noballs", "byes", "legbyes"]],
         F.coalesce(F.size("ball.wickets"), F.lit(0)).alias("outs"),
         F.get(F.col("ball.wickets"), F.lit(0))["kind"].alias("kind"),
         F.coalesce((F.get(F.col("ball.wickets"), F.lit(0))["player_out"] == F.col("ball.batter")).cast("int"), F.lit(0)).alias("striker_outs"),
@@ -406,17 +432,6 @@ def _names_looked_up() -> Column:
     )
 
 
-def _too_many() -> Column:
-    balls_over = F.exists("innings", lambda i: F.exists(i["overs"], lambda o: F.size(o["deliveries"]) >= BALLS_PER_OVER))
-    outs_over = F.exists(
-        "innings", lambda i: F.exists(i["overs"], lambda o: F.exists(
-            o["deliveries"], lambda d: F.size(d["wickets"]) >= WICKETS_PER_BALL)))
-    overs_over = F.exists("innings", lambda i: F.size(i["overs"]) >= OVERS_PER_INNINGS)
-    return F.coalesce(F.size("innings") >= INNINGS_PER_MATCH, F.lit(False)) | F.coalesce(
-        overs_over | balls_over | outs_over, F.lit(False)
-    )
-
-
 def judge(docs: DataFrame) -> DataFrame:
     """Add ``problems``: why a match cannot be loaded, decided inside its own row; empty where it can be."""
     missing = F.array_except(_names_looked_up(), F.map_keys(_registry()))
@@ -424,7 +439,6 @@ def judge(docs: DataFrame) -> DataFrame:
         F.array(
             F.when(season_col(F.col("info.season"), F.col("info.dates")).isNull(), "no season"),
             F.when(F.size(missing) > 0, "name missing from registry"),
-            F.when(_too_many(), "more overs, balls or dismissals than a key can hold"),
         )
     )
     return docs.withColumn("problems", problems)

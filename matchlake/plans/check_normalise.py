@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from matchlake.functions.matches import outcome_cols, season_col
 from matchlake.operators import analytics as an
 from matchlake.operators import normalise as nm
+from matchlake.operators.maintain import KEY_RANGES
 from matchlake.plans.checks import check
 from matchlake.plans.tables import Tables
 from matchlake.plans.text_matches import TEXT_VIEWS, document_text
-from matchlake.sources.documents import number_matches, parse_documents
+from matchlake.sources.documents import number_matches, parse_documents, with_key_counts
 
 
 @check("norm_teams", TEXT_VIEWS + "SELECT team_name FROM team_names")
@@ -97,22 +98,24 @@ def _(t: Tables):
 
 
 @check("norm_innings", TEXT_VIEWS + """
-SELECT p.doc_id * 100 + inning_number AS inning_id, CAST(p.doc_id AS VARCHAR) AS match_id, inning_number,
+SELECT before_innings + inning_number AS inning_id, CAST(p.doc_id AS VARCHAR) AS match_id, inning_number,
        CASE WHEN inning_number = 2 THEN a.team_id ELSE h.team_id END AS batting_team_id,
        CASE WHEN inning_number = 2 THEN h.team_id ELSE a.team_id END AS bowling_team_id,
        CASE WHEN inning_number = 2 THEN CAST(len(ws) AS INTEGER) END AS target_runs,
        CASE WHEN inning_number = 2 THEN '20' END AS target_overs, inning_number = 3 AS is_super_over
-FROM parts p JOIN teams h ON h.team_name = 'Home ' || lang JOIN teams a ON a.team_name = 'Away ' || source
+FROM parts p JOIN ranges USING (doc_id) JOIN teams h ON h.team_name = 'Home ' || lang
+JOIN teams a ON a.team_name = 'Away ' || source
 WHERE p.doc_id NOT IN (SELECT doc_id FROM bad)""")
 def _(t: Tables):
-    return nm.innings(t.stored_docs, t.teams)
+    return nm.innings(t.keyed_docs, t.teams)
 
 
 @check("norm_powerplays", TEXT_VIEWS + """
-SELECT doc_id * 100 + inning_number AS inning_id, 'mandatory' AS type, CAST(0.1 AS DECIMAL(3, 1)) AS from_over,
-       CAST(5.6 AS DECIMAL(3, 1)) AS to_over FROM parts WHERE doc_id NOT IN (SELECT doc_id FROM bad)""")
+SELECT before_innings + inning_number AS inning_id, 'mandatory' AS type, CAST(0.1 AS DECIMAL(3, 1)) AS from_over,
+       CAST(5.6 AS DECIMAL(3, 1)) AS to_over
+FROM parts JOIN ranges USING (doc_id) WHERE doc_id NOT IN (SELECT doc_id FROM bad)""")
 def _(t: Tables):
-    return nm.powerplays(t.good_docs)
+    return nm.powerplays(t.keyed_docs)
 
 
 @check("norm_deliveries", TEXT_VIEWS + """
@@ -125,13 +128,14 @@ SELECT delivery_id, inning_id, CAST(over_number AS INTEGER) AS over_number, CAST
        CASE WHEN size = 11 THEN '{"by":"Home","type":"wicket"}' END AS raw_review_json
 FROM seq""")
 def _(t: Tables):
-    return nm.deliveries(t.good_docs)
+    return nm.deliveries(t.keyed_docs)
 
 
 _WICKETS = """,
 falls AS (
-  SELECT *, delivery_id * 10 + 1 AS wicket_id, batter AS player_out, kind AS how FROM seq WHERE upper
-  UNION ALL SELECT *, delivery_id * 10 + 2, partner, 'run out' FROM seq WHERE upper AND size > 9)
+  SELECT * EXCLUDE nth, before_wickets + row_number() OVER (PARTITION BY doc_id ORDER BY delivery_id, nth) AS wicket_id
+  FROM (SELECT *, 1 AS nth, batter AS player_out, kind AS how FROM seq WHERE upper
+        UNION ALL SELECT *, 2, partner, 'run out' FROM seq WHERE upper AND size > 9))
 """
 
 
@@ -139,13 +143,13 @@ falls AS (
 SELECT wicket_id, delivery_id, player_out AS player_out_identifier, how AS kind,
        CASE WHEN how IN ('bowled', 'caught') THEN bowler END AS bowler_credited_identifier FROM falls""")
 def _(t: Tables):
-    return nm.wickets(t.good_docs)
+    return nm.wickets(t.keyed_docs)
 
 
 @check("norm_fielders", TEXT_VIEWS + _WICKETS + """
 SELECT wicket_id, partner AS fielder_player_identifier FROM falls WHERE how = 'caught'""")
 def _(t: Tables):
-    return nm.wicket_fielders(t.good_docs)
+    return nm.wicket_fielders(t.keyed_docs)
 
 
 @check("norm_replacements", TEXT_VIEWS + """
@@ -156,7 +160,7 @@ SELECT match_id, delivery_id, inning_id, CASE WHEN size = 13 THEN 'match' ELSE '
        CASE WHEN size = 13 THEN 'rule' ELSE 'injury' END AS reason, CAST(NULL AS BIGINT) AS team_id
 FROM seq WHERE size IN (13, 14)""")
 def _(t: Tables):
-    return nm.replacements(t.stored_docs, t.teams)
+    return nm.replacements(t.keyed_docs, t.teams)
 
 
 @check("norm_quarantine", TEXT_VIEWS + """
@@ -166,12 +170,14 @@ def _(t: Tables):
     return bad.select("match_id", F.explode("problems").alias("problem"))
 
 
-@check("norm_match_numbers", """
-SELECT CAST(doc_id AS VARCHAR) AS match_id,
-       row_number() OVER (ORDER BY substr(md5(CAST(doc_id AS VARCHAR)), 1, 3), CAST(doc_id AS VARCHAR)) AS match_no
-FROM documents""")
+@check("norm_match_numbers", TEXT_VIEWS + """
+SELECT match_id, match_no, CAST(sum(n_innings) OVER w - n_innings AS BIGINT) AS before_innings,
+       CAST(sum(n_balls) OVER w - n_balls AS BIGINT) AS before_balls, CAST(sum(n_wickets) OVER w - n_wickets AS BIGINT) AS before_wickets
+FROM (SELECT *, CAST(doc_id AS VARCHAR) AS match_id,
+             row_number() OVER (ORDER BY substr(md5(CAST(doc_id AS VARCHAR)), 1, 3), CAST(doc_id AS VARCHAR)) AS match_no
+      FROM counts) WINDOW w AS (ORDER BY match_no)""")
 def _(t: Tables):
-    return number_matches(t.match_docs.select("match_id")).select("match_id", "match_no")
+    return number_matches(with_key_counts(t.match_docs)).select("match_id", "match_no", *KEY_RANGES.values())
 
 
 @check("norm_ball_fact", TEXT_VIEWS + _WICKETS + """,
@@ -186,7 +192,7 @@ SELECT match_id, inning_id, inning_number, inning_number = 3 AS is_super_over, "
        CAST(coalesce(o.s, 0) AS INTEGER) AS striker_outs, CAST(coalesce(o.c, 0) AS INTEGER) AS credited_outs, o.kind
 FROM seq s LEFT JOIN outs o ON o.delivery_id = s.delivery_id""")
 def _(t: Tables):
-    return nm.balls(t.good_docs)
+    return nm.balls(t.keyed_docs)
 
 
 @check("an_raw_json_deliveries", TEXT_VIEWS + """
@@ -210,4 +216,4 @@ hits AS (
 SELECT bowler, count(*) AS hat_tricks FROM hits WHERE n = p + 1 AND p = q + 1
 GROUP BY bowler ORDER BY hat_tricks DESC, bowler LIMIT 10""")
 def _(t: Tables):
-    return an.hat_tricks(nm.balls(t.good_docs))
+    return an.hat_tricks(nm.balls(t.keyed_docs))

@@ -8,7 +8,7 @@ from matchlake.operators import normalise as nm
 from matchlake.operators.maintain import ForeignKey, NotNull, Unique, assign_key, Check
 from matchlake.schemas import COMMENTS
 from matchlake.session import configure, cut_lineage
-from matchlake.sources.documents import number_matches, parse_documents
+from matchlake.sources.documents import attach_numbers, number_matches, parse_documents, with_key_counts
 from matchlake.sources.people import load_players
 from matchlake.sources.snapshots import write_ball_fact, write_table
 
@@ -48,9 +48,10 @@ def load(spark: SparkSession, staged: DataFrame, people: DataFrame, folder: str,
     write_table(players, f"{folder}/players")
     players = spark.read.parquet(f"{folder}/players")
 
-    docs = number_matches(parse_documents(staged), known["match_numbers"])
-    # The parsed documents are written once; each of the tables below reads the columns it needs.
-    write_table(nm.judge_players(nm.judge(docs), players), f"{folder}/documents")
+    # Parsed once. The keys of a match follow from the counts of all matches before it, so they are attached to what is stored.
+    parsed = cut_lineage(with_key_counts(nm.judge(parse_documents(staged))))
+    numbers = cut_lineage(number_matches(parsed, known["match_numbers"]))
+    write_table(nm.judge_players(attach_numbers(parsed, numbers), players), f"{folder}/documents")
     judged = spark.read.parquet(f"{folder}/documents")
     fine, rejected = nm.split_judged(judged)
 
@@ -61,7 +62,7 @@ def load(spark: SparkSession, staged: DataFrame, people: DataFrame, folder: str,
         assign_key(named_venues, ["venue_name"], "venue_id", old_venues).join(named_venues, "venue_name", "left")
     )
     tables = {
-        "match_numbers": judged.select("match_id", "match_no"),
+        "match_numbers": numbers,
         "rejected_matches": rejected,
         "teams": keyed_teams,
         "venues": keyed_venues,

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from matchlake.fixed_values import UNCREDITED_KINDS
 from matchlake.functions.plan import spread
-from matchlake.operators.maintain import assign_key
+from matchlake.operators.maintain import assign_key, assign_ranges
 from matchlake.operators.normalise import split_valid, teams, venues
-from matchlake.plans.text_matches import match_documents
+from matchlake.plans.text_matches import match_counts, match_documents
 from matchlake.session import checkpoint_dir, configure, cut_lineage
 from matchlake.sources.snapshots import write_table
 
@@ -102,6 +102,13 @@ class Tables:
         write_table(self.good_docs, path)
         return self.spark.read.parquet(path)
 
+    @cached_property
+    def keyed_docs(self) -> DataFrame:
+        """The match documents that load, with the key ranges of their innings, balls and dismissals."""
+        ranges = assign_ranges(match_counts(spread(self.read("documents"), "doc_id")))
+        own = ranges.select(F.col("match_no").alias("doc_id"), *[c for c in ranges.columns if c.startswith("before_")])
+        return split_valid(match_documents(spread(self.read("documents").join(own, "doc_id"), "doc_id")))[0]
+
     @cached_property
     def teams(self) -> DataFrame:
         """The team dimension, written once: the tables of the matches look it up many times."""

@@ -88,10 +88,29 @@ def _inning(team: Column, super_over: Column, words: Column, first: Column, coun
     )
 
 
+def _words() -> Column:
+    return F.filter(F.split("text", "[ \n\t\r]+"), lambda w: w != "")
+
+
+def match_counts(documents: DataFrame) -> DataFrame:
+    """How many innings, balls and dismissals the document of each text will have, without building it."""
+    words = with_once(documents.select("doc_id", "n_chars", "text"), "words", _words())
+    extra = F.col("n_chars") % 5 == 0
+    outs = lambda ws: F.size(F.filter(ws, lambda w: w.rlike("^[A-Z]"))) + F.size(F.filter(ws, lambda w: w.rlike("^[A-Z]") & (F.length(w) > 9)))
+    tie_break = F.slice("words", 1, 6)
+    return words.select(
+        F.col("doc_id").cast("string").alias("match_id"), F.col("doc_id").alias("match_no"),
+        F.when(extra, 3).otherwise(2).cast("long").alias("n_innings"),
+        (F.size("words") + F.when(extra, F.size(tie_break)).otherwise(0)).cast("long").alias("n_balls"),
+        (outs("words") + F.when(extra, outs(tie_break)).otherwise(0)).cast("long").alias("n_wickets"),
+    )
+
+
 def match_documents(documents: DataFrame) -> DataFrame:
-    """match_id, match_no, info and innings for every text."""
-    columns = documents.select("doc_id", "lang", "source", "n_chars", "text")
-    split = with_once(columns, "words", F.filter(F.split("text", "[ \n\t\r]+"), lambda w: w != "")).withColumn(
+    """match_id, match_no, info and innings for every text; key ranges are kept."""
+    ranges = [c for c in documents.columns if c.startswith("before_")]
+    columns = documents.select("doc_id", "lang", "source", "n_chars", "text", *ranges)
+    split = with_once(columns, "words", _words()).withColumn(
         "half", F.floor(F.size("words") / 2).cast("int")
     )
     words = F.col("words")
@@ -133,7 +152,7 @@ def match_documents(documents: DataFrame) -> DataFrame:
     )
     innings = F.when(F.col("n_chars") % 5 == 0, F.concat(played, F.array(tie_break))).otherwise(played)
     built = with_once(split.drop("text"), "doc", F.struct(info.alias("info"), innings.alias("innings")))
-    return built.select(F.col("doc_id").cast("string").alias("match_id"), F.col("doc_id").alias("match_no"), "doc.*")
+    return built.select(F.col("doc_id").cast("string").alias("match_id"), F.col("doc_id").alias("match_no"), *ranges, "doc.*")
 
 
 def document_text(docs: DataFrame) -> DataFrame:
@@ -161,15 +180,23 @@ cut AS (
   SELECT doc_id, lang, source, n_chars, inning_number, unnest(ws) AS w, unnest(range(len(ws))) AS k FROM parts),
 bad AS (SELECT DISTINCT doc_id FROM cut WHERE w[1] SIMILAR TO '[0-9]' OR w[-1] SIMILAR TO '[0-9]'),
 good AS (SELECT * FROM texts WHERE doc_id NOT IN (SELECT doc_id FROM bad)),
+counts AS (
+  SELECT doc_id, max(n_innings) AS n_innings, count(w) AS n_balls,
+         coalesce(sum(CASE WHEN NOT regexp_matches(w, '^[A-Z]') THEN 0 WHEN length(w) > 9 THEN 2 ELSE 1 END), 0) AS n_wickets
+  FROM (SELECT doc_id, CASE WHEN n_chars % 5 = 0 THEN 3 ELSE 2 END AS n_innings FROM texts) LEFT JOIN cut USING (doc_id) GROUP BY doc_id),
+ranges AS (
+  SELECT doc_id, CAST(sum(n_innings) OVER w - n_innings AS BIGINT) AS before_innings,
+         CAST(sum(n_balls) OVER w - n_balls AS BIGINT) AS before_balls, CAST(sum(n_wickets) OVER w - n_wickets AS BIGINT) AS before_wickets
+  FROM counts WINDOW w AS (ORDER BY doc_id)),
 seq AS (
   SELECT CAST(doc_id AS VARCHAR) AS match_id, doc_id, lang, source, n_chars, inning_number, w, length(w) AS size,
-         doc_id * 100 + inning_number AS inning_id, k // 6 AS over_number, k % 6 + 1 AS ball_number,
-         (doc_id * 100 + inning_number) * 1000000 + k // 6 * 100 + k % 6 + 1 AS delivery_id,
+         before_innings + inning_number AS inning_id, k // 6 AS over_number, k % 6 + 1 AS ball_number, before_wickets,
+         before_balls + row_number() OVER (PARTITION BY doc_id ORDER BY inning_number, k) AS delivery_id,
          'p:' || w[1] AS batter, 'p:len' || length(w) AS bowler, 'p:' || w[-1] AS partner, length(w) % 7 AS runs,
          CAST(w LIKE '%,' AS INTEGER) AS wide, CAST(w LIKE '%.' AS INTEGER) AS noball,
          regexp_matches(w, '^[A-Z]') AS upper,
          CASE length(w) % 4 WHEN 0 THEN 'bowled' WHEN 1 THEN 'caught' WHEN 2 THEN 'run out' ELSE 'retired out' END AS kind
-  FROM cut WHERE doc_id NOT IN (SELECT doc_id FROM bad)),
+  FROM cut JOIN ranges USING (doc_id) WHERE doc_id NOT IN (SELECT doc_id FROM bad)),
 team_names AS (SELECT DISTINCT 'Home ' || lang AS team_name FROM good UNION SELECT DISTINCT 'Away ' || source FROM good),
 teams AS (SELECT team_name, row_number() OVER (ORDER BY substr(md5(team_name), 1, 3), team_name) AS team_id FROM team_names),
 venue_names AS (

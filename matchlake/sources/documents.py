@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,12 +49,38 @@ def parse_documents(staged: DataFrame) -> DataFrame:
     )
 
 
-def number_matches(docs: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Add ``match_no``, the number that innings and ball keys are made of; known matches keep theirs."""
-    from matchlake.operators.maintain import assign_key
+def with_key_counts(docs: DataFrame) -> DataFrame:
+    """Add how many innings, balls and dismissals each document has, whether or not they load."""
+    def total(list_: Column, of: Callable[[Column], Column]) -> Column:
+        return F.coalesce(F.aggregate(list_, F.lit(0).cast("long"), lambda sum_, x: sum_ + of(x)), F.lit(0).cast("long"))
+
+    def length(list_: Column) -> Column:
+        return F.coalesce(F.greatest(F.size(list_), F.lit(0)).cast("long"), F.lit(0).cast("long"))
+
+    innings = F.col("innings")
+    return docs.withColumns({
+        "n_innings": length(innings),
+        "n_balls": total(innings, lambda i: total(i["overs"], lambda o: length(o["deliveries"]))),
+        "n_wickets": total(innings, lambda i: total(i["overs"], lambda o: total(o["deliveries"], lambda d: length(d["wickets"])))),
+    })
+
 
+def number_matches(counted: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """``match_id``, ``match_no`` and the key ranges of documents with their counts; known matches keep theirs.
+
+    Only the counts are read, so ``counted`` had better be a stored table.
+    """
+    from matchlake.operators.maintain import KEY_RANGES, assign_key, assign_ranges
+
+    counts = counted.select("match_id", *KEY_RANGES)
     if existing is None:
-        numbers = number_by_hash(docs.select("match_id"), ["match_id"], "match_no")
+        numbers = number_by_hash(counts.select("match_id"), ["match_id"], "match_no")
     else:
-        numbers = assign_key(docs.select("match_id"), ["match_id"], "match_no", existing)
-    return null_safe_join(docs, numbers, ["match_id"])
+        numbers = assign_key(counts.select("match_id"), ["match_id"], "match_no", existing.select("match_id", "match_no"))
+    return assign_ranges(null_safe_join(counts, numbers, ["match_id"]), existing)
+
+
+def attach_numbers(docs: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Documents with ``match_no`` and the key ranges of :func:`number_matches`."""
+    own = numbers.select("match_id", "match_no", *[c for c in numbers.columns if c.startswith("before_")])
+    return docs.drop("match_no").join(own, "match_id")

@@ -120,3 +120,44 @@ def test_super_over_is_left_out_by_default(star):
 def test_hat_trick_over_loaded_balls(star):
     _, t = star
     assert rows(an.hat_tricks(t["balls"])) == [("p05", 3)]  # one in each of the three matches
+
+
+def test_keys_have_no_limits(spark, tmp_path):
+    from matches import ball, out
+
+    long_over = variant_of(FIRST)
+    long_over["innings"][0]["overs"].append({"over": 2, "deliveries": [ball(runs=1) for _ in range(150)]})
+    long_over["innings"][0]["overs"].append({"over": 3, "deliveries": [ball(wickets=[out("C One", "run out") for _ in range(12)])]})
+    long_over["innings"] += [{"team": "Reds", "overs": [{"over": 0, "deliveries": [ball()]}]} for _ in range(120)]
+    odd = variant_of(FIRST)
+    odd["innings"] = [{"team": "Reds"}, {"team": None, "overs": [{"over": 0, "deliveries": [ball()]}]}, {"team": "Blues", "overs": [
+        {"over": 0}, {"over": 1, "deliveries": [ball(), ball(batter=None), ball(wickets=[out("A One")])]}]}]
+    t = load(spark, staged(spark, {"m1": FIRST, "long": long_over, "odd": odd}), people(spark), str(tmp_path))
+    assert rows(t["rejected_matches"]) == []
+    of_odd = t["innings"].where("match_id = 'odd'").select("inning_id", "inning_number")
+    assert rows(of_odd, "inning_number") == [(1,), (3,)]
+    assert rows(t["deliveries"].join(of_odd, "inning_id"), "inning_number", "over_number", "ball_number") == [(3, 1, 1), (3, 1, 3)]
+    game = t["innings"].where("match_id = 'long'").select("inning_id")
+    balls = t["deliveries"].join(game, "inning_id")
+    assert balls.where("over_number = 2").count() == 150 and game.count() == 123
+    many = balls.where("over_number = 3").join(t["wickets"], "delivery_id")
+    assert many.count() == 12 and t["balls"].where("match_id = 'long' AND over_number = 3").first().outs == 12
+    assert rows(audit(t, STAR_RULES)) == []
+    # Keys are dense over all matches that were read.
+    last = t["match_numbers"].selectExpr("max(before_balls + n_balls)").first()[0]
+    assert last == t["match_numbers"].selectExpr("sum(n_balls)").first()[0]
+
+
+def test_a_match_that_grows_gets_new_keys_and_others_keep_theirs(spark, tmp_path):
+    load(spark, staged(spark, {"m1": FIRST, "m2": ALL["m2"]}), people(spark), str(tmp_path))
+    ids = lambda: {m: rows(spark.read.parquet(f"{tmp_path}/balls").where(f"match_id = '{m}'"), "delivery_id", "over_number", "ball_number") for m in ("m1", "m2", "m3")}
+    before = ids()
+    grown = variant_of(FIRST)
+    grown["innings"][1]["overs"][0]["deliveries"] *= 2
+    t = load(spark, staged(spark, {"m1": grown, "m2": ALL["m2"], "m3": ALL["m3"]}), people(spark), str(tmp_path))
+    after = ids()
+    assert after["m2"] == before["m2"] and len(after["m1"]) == len(before["m1"]) + 3
+    assert not {r[0] for r in before["m1"]} & {r[0] for r in after["m1"]}
+    assert rows(audit(t, STAR_RULES)) == []
+    keys = [r.delivery_id for r in t["deliveries"].collect()]
+    assert len(keys) == len(set(keys))
