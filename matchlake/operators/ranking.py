@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlake.functions.numbers import hash_bucket, magnitude_bucket, whole_div
+from matchlake.session import cut_lineage
 
 _BEFORE = (Window.unboundedPreceding, -1)
 
@@ -82,21 +83,40 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str, weight: str = "
     return df.where(given).groupBy(*keys, value).agg(F.count(F.lit(1)).alias(weight))
 
 
-def cumulative(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Distinct values of a numeric column with ``n``, ``before`` (rows with a lower value) and ``total``."""
-    counts = value_counts(df, keys, value)
-    summed = running_total(counts, keys, magnitude_bucket(F.col(value)), [F.col(value)], F.col("n"), "before")
+def counted(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """The rows of ``value_counts``, dealt by ranges of (keys, value) and written to the shared checkpoint folder.
+
+    The splitters come from a sample of the counts themselves, so every range (``_bucket``, rising with the order) holds
+    about as many distinct values as any other, wherever on the number line these lie.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = value_counts(df, keys, value).repartitionByRange(parts, *keys, value)
+    return cut_lineage(dealt.withColumn("_bucket", F.spark_partition_id()))
+
+
+def accumulated(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """The rows of :func:`counted` with ``before`` (rows with a lower value) and ``total``: a prefix sum over the ranges."""
+    summed = running_total(counts, keys, F.col("_bucket"), [F.col(value)], F.col("n"), "before")
     if not keys:
         return summed.withColumn("total", counts.agg(F.sum("n").alias("t")).scalar())
     return null_safe_join(summed, counts.groupBy(*keys).agg(F.sum("n").alias("total")), keys)
 
 
+def cumulative(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Distinct values of a numeric column with ``n``, ``before`` (rows with a lower value) and ``total``."""
+    return accumulated(counted(df, keys, value), keys, value)
+
+
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
-    """Exact quantiles with linear interpolation, one column per entry of ``probs``, plus ``n``.
+    """Exact quantiles with linear interpolation, one column per entry of ``probs``, plus ``n``."""
+    return quantiles_of(cumulative(df, keys, value), keys, value, probs)
+
+
+def quantiles_of(ranked: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """As :func:`quantiles`, from accumulated counts.
 
-    Nothing is gathered per group: the two neighbours of each position are picked out of the cumulative counts.
+    Nothing is gathered per group: the two neighbours of each position are picked out of the counts.
     """
-    ranked = cumulative(df, keys, value)
     picks = []
     for name, p in probs.items():
         position = (F.col("total") - 1) * F.lit(float(p))

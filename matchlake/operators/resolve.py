@@ -158,14 +158,16 @@ def trigram_join(
     both = sides.groupBy("_name").agg(F.max("_l").alias("_l"), F.max("_r").alias("_r"))
     ranked = _by_rarity(both, "_name", trigrams(F.col("_name")), ["_l", "_r"])
     keyed = ranked.select(
-        "_name", "_l", "_r", F.transform("grams", lambda g: g["gram"]).alias("set"),
+        "_name", "_l", "_r", F.transform("grams", lambda g: g["gram"]).alias("set"), F.size("grams").alias("size"),
         F.explode(_pair_keys(F.col("grams"), min_sim, common)).alias("key"),
     )
-    a = keyed.where("_l = 1").select(F.col("_name").alias(left_name), F.col("set").alias("_a"), "key")
-    b = keyed.where("_r = 1").select(F.col("_name").alias("_right"), F.col("set").alias("_b"), F.col("key").alias("_key"))
+    a = keyed.where("_l = 1").select(F.col("_name").alias(left_name), F.col("set").alias("_a"), F.col("size").alias("_na"), "key")
+    b = keyed.where("_r = 1").select(F.col("_name").alias("_right"), F.col("set").alias("_b"), F.col("size").alias("_nb"), F.col("key").alias("_key"))
     sim = similarity(F.col("_a"), F.col("_b"))
+    # Sets whose sizes are too far apart cannot reach the similarity, whatever they share.
+    near = F.least("_na", "_nb") >= F.greatest("_na", "_nb") * (min_sim - 1e-9)
     return (
-        a.join(b, F.col("key") == F.col("_key"))
+        a.join(b, (F.col("key") == F.col("_key")) & near)
         .select(left_name, F.col("_right").alias(right_name if right_name != left_name else f"{right_name}_2"), sim.alias("sim"))
         .where(F.col("sim") >= min_sim - 1e-9)
         .distinct()

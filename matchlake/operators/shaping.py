@@ -15,8 +15,10 @@ from pyspark.sql import types as T
 from matchlake.fixed_values import HISTOGRAM_BINS, PIE_SLICES, TOP_SLICES
 from matchlake.functions.numbers import magnitude_bucket
 from matchlake.operators.maintain import assign_key
-from matchlake.operators.ranking import cumulative, null_safe_join, quantiles, running_total
+from matchlake.operators.ranking import accumulated, counted, cumulative, null_safe_join, quantiles, quantiles_of, running_total
 
+#: Into how many blocks the places of an axis are dealt, so that no task holds all of them.
+AXIS_BLOCKS = 64
 BOX_QUANTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
@@ -290,9 +292,13 @@ def _fences() -> tuple[Column, Column]:
 
 
 def box(df: DataFrame, y: str, by: Sequence[str] = ()) -> DataFrame:
-    """Quartiles, whiskers (farthest values within 1.5 quartile ranges) and number of outliers per category."""
-    quarts = quantiles(df, list(by), y, BOX_QUANTILES)
-    counts = df.where(F.col(y).isNotNull()).groupBy(*by, y).agg(F.count(F.lit(1)).alias("k"))
+    """Quartiles, whiskers (farthest values within 1.5 quartile ranges) and number of outliers per category.
+
+    ``df`` is read once, into a stored table of counts per value; NULL and NaN are no values.
+    """
+    stored = counted(df, list(by), y)
+    quarts = quantiles_of(accumulated(stored, list(by), y), list(by), y, BOX_QUANTILES)
+    counts = stored.drop("_bucket").withColumnRenamed("n", "k")
     low, high = _fences()
     inside = F.col(y).between(low, high)
     if by:
@@ -319,18 +325,21 @@ def box_outliers(df: DataFrame, y: str, by: Sequence[str] = ()) -> DataFrame:
 def violin(df: DataFrame, y: str, by: Sequence[str], grid: int = 50, bins: int = 256) -> DataFrame:
     """Box and density curve per category: quartiles and ``grid`` points of a Gaussian kernel over ``bins`` bins."""
     by = list(by)
-    data = df.where(F.col(y).isNotNull()).select(*by, F.col(y).cast("double").alias("v"))
-    spread = data.groupBy(*by).agg(
-        F.min("v").alias("low"), F.max("v").alias("high"), F.coalesce(F.stddev_samp("v"), F.lit(0.0)).alias("sd")
+    # All figures come from one stored table of counts per value; ``df`` is read once.
+    stored = counted(df.select(*by, F.col(y).cast("double").alias("v")), by, "v")
+    means = stored.groupBy(*by).agg(
+        F.min("v").alias("low"), F.max("v").alias("high"), F.sum("n").alias("all"), (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean")
     )
-    facts = null_safe_join(quantiles(data, by, "v", BOX_QUANTILES), spread, by)
+    apart = null_safe_join(stored, means, by).groupBy(*by, "low", "high", "all").agg(F.sum(F.col("n") * F.pow(F.col("v") - F.col("mean"), F.lit(2))).alias("squares"))
+    spread = apart.select(*by, "low", "high", F.coalesce(F.sqrt(F.col("squares") / F.nullif(F.col("all") - 1, F.lit(0))), F.lit(0.0)).alias("sd"))
+    facts = null_safe_join(quantiles_of(accumulated(stored, by, "v"), by, "v", BOX_QUANTILES), spread, by)
     iqr = (F.col("q3") - F.col("q1")) / 1.349
     width = F.when(iqr > 0, F.least("sd", iqr)).otherwise(F.col("sd")) * 1.06 * F.pow(F.col("n"), F.lit(-0.2))
     facts = facts.withColumn("h", F.when(width > 0, width).otherwise(1.0))
-    low, high = _bounds(data, "v")
-    placed = data.select(*by, "v", low.alias("l"), high.alias("r"))
+    low, high = _bounds(stored, "v")
+    placed = stored.select(*by, "v", "n", low.alias("l"), high.alias("r"))
     counts = placed.groupBy(*by, _bin(F.col("v"), F.col("l"), F.col("r"), bins).alias("bin")).agg(
-        F.count(F.lit(1)).alias("k"), (F.sum("v") / F.count(F.lit(1))).alias("centre")
+        F.sum("n").alias("k"), (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("centre")
     )
     joined = null_safe_join(counts, facts, by).select(
         "*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("grid_place")
@@ -344,13 +353,14 @@ def violin(df: DataFrame, y: str, by: Sequence[str], grid: int = 50, bins: int =
 def heatmap(df: DataFrame, x: str, y: str, z: str, out: str = "mean") -> DataFrame:
     """Mean of ``z`` in every cell of the chart, one row per distinct y and x, empty cells 0; a NULL place is none.
 
-    The rows are reduced to cells first. The places on the x axis are one list value, given to every y: the chart itself
-    is as wide as that list.
+    The rows are reduced to cells first. Both axes are tables: the places of x are dealt into ``AXIS_BLOCKS`` blocks by their
+    hash, each place of y goes to every block once, and the blocks meet by an equi-join.
     """
     placed = df.dropna(subset=[x, y])
     cells = placed.groupBy(y, x).agg(F.avg(z).alias("_mean"))
-    axis = placed.select(x).distinct().agg(F.collect_list(x).alias("places")).scalar()
-    grid = placed.select(y).distinct().select(y, F.explode(axis).alias(x))
+    axis = placed.select(x).distinct().withColumn("_block", F.pmod(F.xxhash64(x), F.lit(AXIS_BLOCKS)).cast("int"))
+    lines = placed.select(y).distinct().withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(AXIS_BLOCKS - 1))))
+    grid = lines.join(axis, "_block").drop("_block")
     return grid.join(cells, [y, x], "left").select(y, x, F.coalesce("_mean", F.lit(0.0)).alias(out))
 
 

@@ -70,3 +70,13 @@ def test_batches_are_full_but_the_last(spark):
 def test_nan_is_no_value(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (2.0,), (None,)], "v double")
     assert rows(rk.cumulative(df, [], "v")) == [(1.0, 1, 0, 2), (2.0, 1, 1, 2)]
+
+
+def test_far_out_values_spread_over_all_ranges(spark):
+    """Epoch seconds: all in one octave, so buckets by size would put them into one."""
+    df = spark.range(200_000).selectExpr("1.7e9 + id AS v", "id % 2 AS g")
+    per_range = [r["count"] for r in rk.counted(df, [], "v").groupBy("_bucket").count().collect()]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(per_range) == parts and max(per_range) < 2 * 200_000 / parts
+    got = rk.quantiles(df, ["g"], "v", {"m": 0.5}).orderBy("g").collect()
+    assert [(r.g, r.n, r.m) for r in got] == [(0, 100_000, 1.7e9 + 99_999), (1, 100_000, 1.7e9 + 100_000)]

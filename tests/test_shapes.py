@@ -117,3 +117,17 @@ def test_enrichment(spark):
     odd = spark.createDataFrame([("Both", "OB,SLA")], "bowling_hand string, bowling_style string")
     flagged = en.validate(odd, {k: en.ATTRIBUTE_DOMAINS[k] for k in odd.columns}).first()
     assert flagged.invalid == ["bowling_hand", "bowling_style"]
+
+
+def test_heatmap_has_every_cell_and_no_axis_list(spark):
+    data = spark.createDataFrame([("a", 1, 2.0), ("a", 1, 4.0), ("b", 2, 5.0), ("b", None, 1.0), (None, 3, 1.0)], "y string, x int, z double")
+    out = sh.heatmap(data, "x", "y", "z")
+    assert rows(out, "y", "x", "mean") == [("a", 1, 3.0), ("a", 2, 0.0), ("b", 1, 0.0), ("b", 2, 5.0)]
+    assert "collect_list" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sh.heatmap(data.where("false"), "x", "y", "z").count() == 0
+
+
+def test_box_without_categories_skips_nan(spark):
+    data = spark.createDataFrame([(float(v),) for v in [1, 2, 3, 4, 100]] + [(float("nan"),), (None,)], "v double")
+    got = sh.box(data, "v").first()
+    assert (got.n, got.q1, got.median, got.q3, got.whisker_low, got.whisker_high, got.outliers) == (5, 2.0, 3.0, 4.0, 1.0, 4.0, 1)
