@@ -36,12 +36,13 @@ def hash_shape(vectors: int, threshold: float = THRESHOLD, recall: float = RECAL
 
 
 def classes_of(vectors: DataFrame) -> DataFrame:
-    """``rep``, ``label``, ``embedding`` and ``copies`` of each distinct usable vector; a vector is usable when it has an
-    id, a label and components, all finite and not all zero."""
+    """``label``, ``embedding``, ``least`` (smallest id) and ``copies`` of each distinct usable vector, with a number of its
+    own (``rep``, to be stored before use); a vector is usable when it has an id, a label and components, all finite and not
+    all zero."""
     good = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists("embedding", lambda x: x != 0)
     usable = vectors.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.coalesce(good, F.lit(False)))
     return usable.select(F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast("array<double>").alias("embedding")).groupBy(
-        "label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
+        "label", "embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies")).withColumn("rep", F.monotonically_increasing_id())
 
 
 def signed(classes: DataFrame, planes: int, tables: int, seed: int = SEED) -> DataFrame:
@@ -172,10 +173,15 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: fl
     # One id may stand in several rows with different vectors: it ties their classes.
     of_rows = vectors.select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("label").alias("of_label"), F.col("embedding").cast("array<double>").alias("of_embedding"))
-    placed = of_rows.join(classes, (F.col("label") == F.col("of_label")) & (F.col("embedding") == F.col("of_embedding")), "left").select("vec_id", "rep", "copies")
+    placed = of_rows.join(classes, (F.col("label") == F.col("of_label")) & (F.col("embedding") == F.col("of_embedding")), "left").select("vec_id", "rep", "least", "copies")
     placed = stored(placed)
-    ties = placed.where("rep IS NOT NULL AND rep <> vec_id").select(F.col("vec_id").alias("a"), F.col("rep").alias("b"))
-    component = connected_components(found.where("b IS NOT NULL").select("a", "b").unionByName(ties))
+    ties = placed.where("least <> vec_id").select(F.col("vec_id").alias("a"), F.col("least").alias("b"))
+    # Links are counted between classes, since an id may stand in several; components are of ids.
+    ids = classes.select("rep", "least")
+    spanning = found.where("b IS NOT NULL").select("a", "b")
+    for end in ("a", "b"):
+        spanning = spanning.join(ids.withColumnRenamed("rep", end), end).drop(end).withColumnRenamed("least", end)
+    component = connected_components(spanning.select("a", "b").unionByName(ties))
     return placed.join(links, "rep", "left").join(component, placed["vec_id"] == component["node"], "left").select(
         "vec_id", F.when(F.col("rep").isNull(), 0).otherwise(F.col("copies") - 1 + F.coalesce("n", F.lit(0))).cast("long").alias("n_links"),
         F.coalesce("component_id", "vec_id").alias("component_id"),

@@ -10,6 +10,7 @@ nodes on the path stays; children of the best node go where they are mostly link
 from __future__ import annotations
 
 import math
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -58,17 +59,27 @@ class TreeBuilder(HTMLParser):
         self.root = Node("html", None, False)
         self.open = [self.root]
         self.nodes = [self.root]
+        #: How many elements of each tag are open, so that an end tag without a start costs nothing.
+        self.tags = Counter()
 
     def _close_to(self, depth: int) -> None:
+        self.tags.subtract(node.tag for node in self.open[max(depth, 1) :])
         del self.open[max(depth, 1) :]
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """A marked section of an unknown kind is a bogus comment; it ends at the next >."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.parse_bogus_comment(i, report)
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "html":
             return
         ended, within = _CLOSES.get(tag, (set(), set()))
         if tag in _ENDS_P:
             ended, within = ended | {"p"}, within | _HOLDS_P
-        if ended:
+        if any(self.tags[t] for t in ended):
             for depth in range(len(self.open) - 1, 0, -1):
                 if self.open[depth].tag in ended:
                     self._close_to(depth)
@@ -84,11 +95,14 @@ class TreeBuilder(HTMLParser):
         self.nodes.append(node)
         if tag not in VOID:
             self.open.append(node)
+            self.tags[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
+        if not self.tags[tag]:
+            return
         for depth in range(len(self.open) - 1, 0, -1):
             if self.open[depth].tag == tag:
                 self._close_to(depth)

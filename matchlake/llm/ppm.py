@@ -69,6 +69,8 @@ def context_trees(counts: DataFrame) -> dict:
     """
     table = counts.toArrow()
     langs = sorted(set(table.column("lang").to_pylist()))
+    if not langs:
+        return {"langs": langs}
     place = {lang: i for i, lang in enumerate(langs)}
     lang_of = np.array([place[x] for x in table.column("lang").to_pylist()], np.int64)
     gram, n = table.column("gram").to_numpy().astype(np.uint32), table.column("n").to_numpy().astype(np.float64)

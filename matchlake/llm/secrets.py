@@ -97,8 +97,8 @@ def _placed(cut: str, kind: str, good: str) -> Column:
 def find(docs: DataFrame, ratios: list[float]) -> DataFrame:
     """``docs`` with ``spans``: an array of (start, rank, end, kind) in code points, end exclusive, by start and kind.
 
-    Base spans are leftmost and non-overlapping per kind; kinds may overlap. A ``random`` span is a run of 20 characters
-    or more that overlaps no base span and that the models call random. NULL texts are empty and have no span; repeated
+    Base spans are leftmost and non-overlapping per kind; kinds may overlap. A ``random`` span is a whole run of 20 characters
+    or more that the models call random and that reaches beyond every base span it touches. NULL texts are empty and have no span; repeated
     rows are scanned alike; a column named ``spans`` is replaced, other columns stay.
     """
     text = F.coalesce("text", F.lit(""))
@@ -118,9 +118,9 @@ def find(docs: DataFrame, ratios: list[float]) -> DataFrame:
     judged = F.zip_with(F.arrays_zip("_found.runs", "_found.ratio"), "_found.kinds", lambda r, k: F.struct(
         r["runs"].alias("span"), ((r["ratio"] >= LEAST_RATIO) & (k >= LEAST_KINDS)
                                   & (r["ratio"] >= LEAST_PER_PAIR * (r["runs"]["end"] - r["runs"]["start"] - 1))).alias("good")))
-    free = F.filter(F.filter(judged, lambda j: j["good"]), lambda j: ~F.exists("_base", lambda b: (
-        (b["start"] < j["span"]["end"]) & (j["span"]["start"] < b["end"]))))
-    found = with_once(chosen, "spans", F.array_sort(F.concat("_base", F.transform(free, lambda j: j["span"]))))
+    told = F.filter(F.filter(judged, lambda j: j["good"]), lambda j: ~F.exists("_base", lambda b: (
+        (b["start"] <= j["span"]["start"]) & (j["span"]["end"] <= b["end"]))))
+    found = with_once(chosen, "spans", F.array_sort(F.concat("_base", F.transform(told, lambda j: j["span"]))))
     return found.select(*[c for c in docs.columns if c != "spans"], "spans")
 
 
