@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -136,22 +137,23 @@ def fit(sample: DataFrame, lasso: float = LASSO, counterfactual: float = COUNTER
 
     table = sample.select("doc_id", "toxic", "words").mapInArrow(features, "doc_id long, toxic int, held array<int>").orderBy("doc_id", "toxic").toArrow().combine_chunks()
     y = table.column("toxic").to_numpy().astype(np.float64)
-    held = [np.asarray(h, np.int64) for h in table.column("held").to_pylist()]
-    row, col, rate = np.repeat(np.arange(len(held)), [len(h) for h in held]), np.concatenate(held), y.mean()
+    held = table.column("held").combine_chunks()
+    row = np.repeat(np.arange(len(held)), pc.list_value_length(held).to_numpy())
+    col = held.flatten().to_numpy().astype(np.int64)
     kinds, _ = _identity_hashes()
 
     # A swap takes one term out and puts another in.
     out_term, in_term = [], []
-    present = set(zip(row.tolist(), col.tolist()))
     for terms in kinds:
         places = np.searchsorted(words, terms)
+        some = np.isin(col, places)
+        present = np.sort(row[some] * len(words) + col[some])
         for a in places:
-            for r in np.unique(row[col == a]):
-                for b in places:
-                    if b != a and (int(r), int(b)) not in present:
-                        out_term.append(a)
-                        in_term.append(b)
-    out_term, in_term = np.array(out_term, np.int64), np.array(in_term, np.int64)
+            mine = np.unique(row[col == a])
+            new = (places[None, :] != a) & ~np.isin(mine[:, None] * len(words) + places[None, :], present)
+            out_term.append(np.full(int(new.sum()), a, np.int64))
+            in_term.append(np.broadcast_to(places, new.shape)[new])
+    out_term, in_term = np.concatenate(out_term), np.concatenate(in_term)
 
     docs, width = len(y), len(words)
     rate = min(max(y.mean(), 1e-3), 1 - 1e-3)
