@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.storing import stored
+from matchlake.llm.storing import discard, stored
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -36,8 +36,9 @@ def connected_components(links: DataFrame) -> DataFrame:
     now = stored(given)
     before, after = None, state(now)
     while before != after:
-        before = after
+        before, last = after, now
         now = stored(tied(tied(now, large=True), large=False))
+        discard(last)
         after = state(now)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component_id")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("component_id")).distinct(),

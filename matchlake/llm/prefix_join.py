@@ -9,8 +9,8 @@ common to all; the order here puts shingles that many documents share last. The
    one group, of which only the leader goes on;
 3. find the prefix shingles that several groups share. Common shingles are known and go straight on, the rest is packed by
    hash range and reduced there, so shingles of one document cost a few bytes and no row;
-4. star round: each group is verified against the group in which the shared shingle stands earliest, the least changed
-   one of a family of copies; linked classes become components;
+4. star round: of the groups in which a shared shingle stands earliest, the least changed ones of a family of copies, each
+   group is verified against the one that most of its shingles name; linked classes become components;
 5. full round: all group pairs with a shared shingle, whose size and shingle positions still allow the threshold and which
    are not yet in one component, are expanded to their members and verified. Only components are asked for, so a pair
    inside one component need not be looked at again: a family of copies costs links, not pairs.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from matchlake.llm import shingles
 from matchlake.llm.components import connected_components
-from matchlake.llm.storing import stored
+from matchlake.llm.storing import discard, stored
 
 THRESHOLD = 75
 SHINGLE = 5
@@ -247,30 +247,37 @@ def _allowed(threshold: int) -> Column:
 
 
 def verified(docs: DataFrame, pairs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """The pairs (``a``, ``b``) of doc ids whose shingle sets reach the threshold, counted exactly."""
+    """The pairs (``a``, ``b``) of doc ids whose shingle sets reach the threshold, counted exactly.
+
+    Texts are moved, not their sets, which are larger; ``b`` should be the end that many pairs share: its pairs stand together
+    then, and its set is made once for a run of them.
+    """
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
 
-    def sets(batches):
-        for batch in batches:
-            for first, last, data, offsets in shingles.slices(batch.column(1)):
-                row, token = shingles.shingle_sets(data, offsets, size)
-                begin = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=last - first))])
-                blobs = [token[b:e].tobytes() for b, e in zip(begin[:-1], begin[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(blobs, pa.binary())], ["id", "tokens"])
+    def sets(texts):
+        for _, last, data, offsets in shingles.slices(texts):
+            row, token = shingles.shingle_sets(data, offsets, size)
+            begin = np.searchsorted(row, np.arange(len(offsets)))
+            yield from (token[b:e] for b, e in zip(begin[:-1], begin[1:]))
 
     def compare(batches):
         for batch in batches:
+            # Places where another text begins; a run of equal ones is shingled once.
+            b, y = batch.column(1).to_numpy(), batch.column(3)
+            head = np.ones(len(batch), bool)
+            head[1:] = (b[1:] != b[:-1]) | ~pc.equal(y[1:], y[:-1]).to_numpy(zero_copy_only=False)
+            centres, centre = sets(y.filter(pa.array(head))), None
             good = np.zeros(len(batch), bool)
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.intersect1d(x, y, assume_unique=True).size
-                good[i] = 100 * both >= threshold * (len(x) + len(y) - both)
+            for i, own in enumerate(sets(batch.column(2))):
+                if head[i]:
+                    centre = next(centres)
+                both = np.intersect1d(own, centre, assume_unique=True).size
+                good[i] = both > 0 and 100 * both >= threshold * (len(own) + len(centre) - both)
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    own = texts.mapInArrow(sets, "id long, tokens binary")
-    both = pairs.join(own.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a")
-    both = both.join(own.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b")
+    texts = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
+    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a")
+    both = both.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b")
     return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
@@ -296,19 +303,25 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRES
     group = ["gid", "n_shingles", "prefix_sig"]
     leaders = (
         described.where("n_shingles > 0").select(F.col("doc_id").alias("gid"), "n_shingles", F.md5("prefix").alias("prefix_sig"), "prefix")
-        .join(members.where("gid = rep").select(*group), group, "left_semi").dropDuplicates(group)
+        .join(members.where("gid = rep").select(*group), group, "left_semi")
         .select("gid", F.col("n_shingles").alias("n"), "prefix")
     )
+    # A document in several equal rows names its shingles several times, which makes no link.
     tokens = stored(_shared_tokens(leaders, common))
+    narrow = stored(narrow)
+    discard(described)
 
     # Star round.
     other = F.struct(F.col("pos").alias("other_pos"), F.col("gid").alias("other_gid"), F.col("n").alias("other_n"))
     centre = tokens.groupBy("token").agg(F.min(other).alias("c"), F.count("*").alias("m")).where("m > 1").select("token", "c.*")
     stars = tokens.join(centre, "token").where(F.col("gid") != F.col("other_gid")).where(_allowed(threshold))
-    star_pairs = stars.select(F.col("gid").alias("a"), F.col("other_gid").alias("b"))
-    member_pairs = members.where("gid <> rep").select(F.col("gid").alias("a"), F.col("rep").alias("b"))
-    pairs = star_pairs.unionByName(member_pairs).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    found = stored(verified(docs, stored(pairs), size, threshold))
+    votes = stars.groupBy("gid", "other_gid").agg(F.count("*").alias("n_votes"))
+    star_pairs = votes.groupBy(F.col("gid").alias("a")).agg(F.max_by("other_gid", F.struct("n_votes", -F.col("other_gid"))).alias("b"))
+    member_pairs = members.where("gid <> rep").select(F.col("rep").alias("a"), F.col("gid").alias("b"))
+    pairs = star_pairs.unionByName(member_pairs)
+    pairs = stored(pairs)
+    found = stored(verified(docs, pairs, size, threshold))
+    discard(pairs)
 
     # Full round: what is not in one component yet.
     component = connected_components(found)
@@ -319,6 +332,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRES
     # Only shingles that still have two components.
     open_tokens = marked.groupBy("token").agg(F.min("lowest").alias("l"), F.max("highest").alias("h")).where("l <> h").select("token")
     left = stored(marked.join(open_tokens, "token", "left_semi"))
+    discard(tokens)
     right = left.select("token", *[F.col(c).alias(f"other_{c}") for c in ("gid", "n", "pos", "lowest", "highest")])
     group_pairs = (
         left.join(right, (left["token"] == right["token"]) & (F.col("gid") < F.col("other_gid")) & _allowed(threshold)
@@ -330,7 +344,10 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRES
     two = placed.select(F.col("gid").alias("other_gid"), F.col("rep").alias("b"), F.col("component_id").alias("in_b"))
     rest = group_pairs.unionByName(mixed).join(one, "gid").join(two, "other_gid").where("in_a <> in_b").select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = verified(docs, stored(rest), size, threshold)
+    rest = stored(rest)
+    discard(left)
+    more = stored(verified(docs, rest, size, threshold))
+    discard(rest)
 
     # One document may stand in several rows with different texts: it ties their classes.
     of_ids = narrow.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", *signature)

@@ -9,14 +9,23 @@ from pyspark.sql import DataFrame
 from matchlake.session import checkpoint_dir
 
 
+#: Lets Spark delete the shuffle files of a query once it has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet below ``spark.checkpoint.dir`` and read again."""
+    """``df`` written as Parquet below ``spark.checkpoint.dir`` and read again. What it shuffled is deleted at once."""
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(checkpoint_dir(spark))
     folder = f"{context.getCheckpointDir().rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(folder)
 
 
