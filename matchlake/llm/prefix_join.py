@@ -35,6 +35,8 @@ SEEN_OFTEN = 8
 RANGE_BITS = 12
 PACKED_TOKENS = 1 << 21
 _LOW_BITS = 28
+#: Places of the bitmap of asked documents: 4 MB at most, whatever the corpus.
+ASKED_BITS = 1 << 25
 
 
 def _ranges(sorted_tokens: np.ndarray) -> np.ndarray:
@@ -249,10 +251,16 @@ def _allowed(threshold: int) -> Column:
 def verified(docs: DataFrame, pairs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """The pairs (``a``, ``b``) of doc ids whose shingle sets reach the threshold, counted exactly.
 
-    Texts are moved, not their sets, which are larger; ``b`` should be the end that many pairs share: its pairs stand together
-    then, and its set is made once for a run of them.
+    Texts are moved, not their sets, which are larger, and hardly any but those of documents asked for. ``b`` should be the
+    end that many pairs share: its pairs stand together then, and its set is made once for a run of them.
     """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    def place(of: str) -> Column:
+        return F.pmod(F.xxhash64(of), F.lit(ASKED_BITS)) + 1
+
+    # A bitmap of the asked documents keeps nearly all other texts out of the joins; some pass it and find no pair.
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).select(place("id").alias("place"))
+    bitmap = asked.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    is_asked = F.expr("shiftright(cast(conv(hex(substring(bits, cast(at div 8 AS int) + 1, 1)), 16, 10) AS int), cast(at % 8 AS int)) & 1 = 1")
 
     def sets(texts):
         for _, last, data, offsets in shingles.slices(texts):
@@ -275,7 +283,9 @@ def verified(docs: DataFrame, pairs: DataFrame, size: int = SHINGLE, threshold:
                 good[i] = both > 0 and 100 * both >= threshold * (len(own) + len(centre) - both)
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
-    texts = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
+    texts = docs.where("text IS NOT NULL AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = texts.withColumns({"bucket": F.bitmap_bucket_number(place("doc_id")), "at": F.bitmap_bit_position(place("doc_id"))})
+    texts = texts.join(F.broadcast(bitmap), "bucket").where(is_asked).select("doc_id", "text")
     both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a")
     both = both.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b")
     return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
