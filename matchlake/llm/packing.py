@@ -4,7 +4,8 @@ A bin holds so many code points. It never holds two pieces of one duplicate clus
 of one source. Every bin carries a bitmap of its clusters and ``PER_SOURCE`` bitmaps of its sources (bit s of the k-th is
 set when the bin has k pieces of source s), so compatibility is two bit tests. Bins are ordered by what is left in them; a
 piece, longest first, starts at the smallest residual that holds it and goes on to the next larger one until a bin is
-compatible; if none is, it opens a new bin. That bin is the tightest compatible one.
+compatible; if none is, it opens a new bin. That bin is the tightest compatible one. Bins stand in blocks that know what all
+of their bins refuse, so a search passes over the bins that are closed to a hot source block by block.
 
 Rows are dealt by hash into shards of about ``SHARD_CHARS`` code points, each packed by itself: the number of shards
 follows the input, and a shard is bounded, whatever source or cluster is hot. Texts are not moved, only their lengths.
@@ -30,46 +31,94 @@ def text_cluster(text: Column) -> Column:
     return F.md5(F.trim(F.regexp_replace(F.lower(text), r"[\x20\x09-\x0D]+", " ")).cast("binary"))
 
 
+class _Residuals:
+    """Bins ordered by what is left in them, in blocks. ``refused`` holds per block the bits that all of its bins have in ``marks``,
+    so that the search passes over a block that refuses a source or cluster without looking at its bins."""
+
+    BLOCK = 256
+
+    def __init__(self, marks: list[int]):
+        self.marks, self.blocks, self.highest, self.refused = marks, [], [], []
+
+    def take(self, least: tuple[int, int], mask: int) -> tuple[int, int] | None:
+        """Remove and return the first (residual, bin) from ``least`` on whose marks have no bit of ``mask``."""
+        for k in range(bisect_left(self.highest, least), len(self.blocks)):
+            if self.refused[k] & mask:
+                continue
+            block = self.blocks[k]
+            for at in range(bisect_left(block, least), len(block)):
+                if not self.marks[block[at][1]] & mask:
+                    found = block.pop(at)
+                    self._replace(k, [block] if block else [])
+                    return found
+        return None
+
+    def add(self, entry: tuple[int, int]) -> None:
+        if not self.blocks:
+            self._replace(0, [[entry]])
+            return
+        k = min(bisect_left(self.highest, entry), len(self.blocks) - 1)
+        block = self.blocks[k]
+        insort(block, entry)
+        if len(block) > 2 * self.BLOCK:
+            self._replace(k, [block[: self.BLOCK], block[self.BLOCK :]])
+        else:
+            self.highest[k] = block[-1]
+            self.refused[k] &= self.marks[entry[1]]
+
+    def _replace(self, k: int, blocks: list) -> None:
+        """Put ``blocks`` in the place of block ``k``."""
+        common = []
+        for block in blocks:
+            bits = -1
+            for _, b in block:
+                bits &= self.marks[b]
+                if not bits:
+                    break
+            common.append(bits)
+        self.blocks[k : k + 1], self.highest[k : k + 1], self.refused[k : k + 1] = blocks, [block[-1] for block in blocks], common
+
+
 def pack_items(items: list[tuple], capacity: int, per_source: int) -> list[list[int]]:
     """Bins of item numbers, best fit by falling size. An item is (size, cluster, source, ...), no longer than a bin.
 
     An item without cluster (None) is like no other.
     """
-    often = Counter(i[1] for i in items if i[1] is not None)
-    cluster_bit = {c: 1 << k for k, c in enumerate(c for c, n in often.items() if n > 1)}
-    source_bit: dict = {}
+    # Frequent sources and clusters have the lowest bits, so that bitmaps that blocks have in common stay short.
+    source_bit = {s: 1 << k for k, (s, _) in enumerate(Counter(i[2] for i in items).most_common())}
+    often = Counter(i[1] for i in items if i[1] is not None).most_common()
+    cluster_bit = {c: 1 << k for k, c in enumerate((c for c, n in often if n > 1), len(source_bit))}
     order = sorted(range(len(items)), key=lambda k: (-items[k][0], items[k][1] or "", items[k][2:]))
-    by_residual: list[tuple[int, int]] = []
-    clusters, sources, held = [], [], []
-    last, resume = None, 0
+    #: Per bin: its clusters and the sources it has ``per_source`` pieces of, and the bitmaps of fewer pieces.
+    marks: list[int] = []
+    fewer, held = [], []
+    left = _Residuals(marks)
+    last, resume = None, (0, -1)
     for k in order:
         size, cluster, source = items[k][:3]
-        bit_c = cluster_bit.get(cluster, 0)
-        bit_s = source_bit.setdefault(source, 1 << len(source_bit))
+        bit_c, bit_s = cluster_bit.get(cluster, 0), source_bit[source]
         # Bins that refused an equal item before refuse this one too.
-        at = resume if last == (size, cluster, source) and bit_c else bisect_left(by_residual, (size, -1))
-        while at < len(by_residual):
-            b = by_residual[at][1]
-            if not clusters[b] & bit_c and not sources[b][-1] & bit_s:
-                break
-            at += 1
-        if at < len(by_residual):
-            residual, b = by_residual.pop(at)
-            residual -= size
-        else:
-            residual, b = capacity - size, len(held)
-            clusters.append(0)
-            sources.append([0] * per_source)
+        least = max((size, -1), resume) if last == (size, cluster, source) and bit_c else (size, -1)
+        found = left.take(least, bit_c | bit_s)
+        if found is None:
+            residual, b = capacity, len(held)
+            marks.append(0)
+            fewer.append([0] * (per_source - 1))
             held.append([])
-        clusters[b] |= bit_c
-        carry = bit_s
-        for plane in range(per_source):
-            if not sources[b][plane] & bit_s:
-                sources[b][plane] |= carry
+            resume = (capacity + 1, -1)
+        else:
+            residual, b = found
+            resume = found
+        marks[b] |= bit_c
+        for plane in range(per_source - 1):
+            if not fewer[b][plane] & bit_s:
+                fewer[b][plane] |= bit_s
                 break
+        else:
+            marks[b] |= bit_s
         held[b].append(k)
-        insort(by_residual, (residual, b))
-        last, resume = (size, cluster, source), max(at + 1, bisect_left(by_residual, (size, -1)))
+        left.add((residual - size, b))
+        last = (size, cluster, source)
     return held
 
 
