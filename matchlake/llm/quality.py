@@ -1,8 +1,9 @@
 """Quality rules by distribution divergence.
 
 Each language has two reference histograms, counted over all its documents: character classes, and common words (each that
-makes up at least ``COMMON_SHARE`` of the language's words, the rest as one bin). A document is compared with its language's
-references by the Jensen-Shannon distance (base 2, so from 0 to 1). Short texts scatter widely by chance, so each of the two
+makes up at least ``COMMON_SHARE`` of the language's words, the rest as one bin). Shares of a language are smoothed toward those of
+all documents, as if so many words and code points of the whole corpus were added to it; that says little in a large language
+and much in one of a few short texts, and every language has a reference. A document is compared with its language's references by the Jensen-Shannon distance (base 2, so from 0 to 1). Short texts scatter widely by chance, so each of the two
 comparisons only counts from a least length on.
 """
 
@@ -18,8 +19,8 @@ from matchlake.llm import shingles
 from matchlake.llm.storing import stored
 
 COMMON_SHARE = 0.004
-#: Languages with fewer words in all have no reference; their documents are only held to the base rules.
-LEAST_LANGUAGE_WORDS = 5000
+#: Words and code points of the whole corpus that are added to each language.
+SMOOTH_WORDS, SMOOTH_CHARS = 100.0, 1000.0
 LEAST_CHARS, LEAST_WORDS = 200, 100
 FARTHEST_CHARS, FARTHEST_WORDS = 0.25, 0.33
 WINDOW = 5
@@ -54,7 +55,8 @@ def references(docs: DataFrame) -> dict:
     """By language: ``classes`` (shares), ``words`` (sorted hashes of common words), ``shares`` (of these, then of the rest).
 
     All documents are counted. Tasks add up their words before they are shuffled; what is fetched is bounded by the number
-    of languages, since at most 1 / ``COMMON_SHARE`` words of each can be common. NULL languages are one language.
+    of languages, since at most 1 / ``COMMON_SHARE`` words of each, and of the corpus, can be common. NULL languages are one language.
+    No rows give no references.
     """
     schema = "lang string, kind int, token long, n long"
 
@@ -90,23 +92,33 @@ def references(docs: DataFrame) -> dict:
 
     counted = docs.select(F.col("lang").cast("string").alias("lang"), "text").mapInArrow(count, schema).groupBy("lang", "kind", "token").agg(F.sum("n").alias("n"))
     counts = stored(counted)
-    totals = {r["lang"]: r["n"] for r in counts.where("kind = 2").collect()}
-    known = {lang: n for lang, n in totals.items() if n >= LEAST_LANGUAGE_WORDS}
-    out = {lang: {"classes": np.zeros(CLASSES), "tokens": [], "n": []} for lang in known}
-    total = counts.where(f"kind = 2 AND n >= {LEAST_LANGUAGE_WORDS}").select(F.col("lang").alias("of"), F.col("n").alias("all_n"))
-    fetched = counts.where("kind < 2").join(total, F.col("lang").eqNullSafe(F.col("of"))).where((F.col("kind") == 1) | (F.col("n") >= F.col("all_n") * COMMON_SHARE))
-    for r in fetched.select("lang", "kind", "token", "n").collect():
-        if r["kind"] == 1:
-            out[r["lang"]]["classes"][r["token"]] = r["n"]
-        else:
-            out[r["lang"]]["tokens"].append(r["token"])
-            out[r["lang"]]["n"].append(r["n"])
+    corpus = counts.groupBy("kind", "token").agg(F.sum("n").alias("corpus_n"))
+    words = {r["lang"]: r["n"] for r in counts.where("kind = 2").collect()}
+    corpus_words = max(1, sum(words.values()))
+    classes = {lang: np.zeros(CLASSES) for lang in words}
+    for r in counts.where("kind = 1").collect():
+        classes[r["lang"]][r["token"]] = r["n"]
+    corpus_classes = sum(classes.values(), np.zeros(CLASSES))
+    corpus_classes = corpus_classes / max(1.0, corpus_classes.sum())
+    # Words whose smoothed share reaches the least one either do so in the corpus or have more than that in the language.
+    everywhere = {r["token"]: r["corpus_n"] / corpus_words for r in corpus.where(
+        (F.col("kind") == 0) & (F.col("corpus_n") >= corpus_words * COMMON_SHARE)).collect()}
+    total = counts.where("kind = 2").select(F.col("lang").alias("of"), F.col("n").alias("all_n"))
+    own = counts.where("kind = 0").join(total, F.col("lang").eqNullSafe(F.col("of")))
+    frequent = own.where((F.col("n") >= F.col("all_n") * COMMON_SHARE) | F.col("token").isin(list(everywhere)))
+    found: dict = {lang: {} for lang in words}
+    for r in frequent.join(corpus.where("kind = 0").select("token", "corpus_n"), "token").select("lang", "token", "n", "corpus_n").collect():
+        found[r["lang"]][r["token"]] = r["n"], r["corpus_n"] / corpus_words
     made = {}
-    for lang, one in out.items():
-        tokens, n = np.array(one["tokens"], np.int64).view(np.uint64), np.array(one["n"], np.float64)
-        order = np.argsort(tokens)
-        shares = np.append(n[order], known[lang] - n.sum()) / known[lang]
-        made[lang] = {"classes": one["classes"] / one["classes"].sum(), "words": tokens[order], "shares": shares}
+    for lang, n in words.items():
+        candidates = {token: (0, share) for token, share in everywhere.items()} | found[lang]
+        smoothed = {token: (k + SMOOTH_WORDS * share) / (n + SMOOTH_WORDS) for token, (k, share) in candidates.items()}
+        common = sorted((token for token, share in smoothed.items() if share >= COMMON_SHARE), key=lambda token: token & (2**64 - 1))
+        shares = np.array([smoothed[token] for token in common])
+        chars = classes[lang] + SMOOTH_CHARS * corpus_classes
+        made[lang] = {
+            "classes": chars / max(1.0, chars.sum()), "words": np.array(common, np.int64).view(np.uint64), "shares": np.append(shares, 1.0 - shares.sum()),
+        }
     return made
 
 
@@ -161,7 +173,7 @@ def judge(docs: DataFrame, reference: dict) -> DataFrame:
     """Per row: ``doc_id``, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``,
     ``kept``, ``char_distance`` and ``word_distance``.
 
-    The distances are NULL below the least lengths or without a reference, and then reject nothing. NULL texts are empty:
+    The distances are NULL below the least lengths, and then reject nothing. NULL texts are empty:
     they have no words, so they fail the base rules. Repeated rows are judged alike; other columns are ignored.
     """
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance"]
