@@ -12,6 +12,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from matchlake.llm.columns import set_aside
+
 SEED = 17
 ALPHA = 0.5
 SALTS = 32
@@ -72,7 +74,8 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, alpha: floa
 
     The rates are joined on source and a salt, each source's rates once per salt, so that no source is one join key.
     """
-    kept = [c for c in docs.columns if c not in ("copies", "copy", "shuffle_key", "_salt", "_draw", "_rate", "_steps", "_source")]
+    docs, given = set_aside(docs.drop("copies", "copy", "shuffle_key"), ("doc_id", "source", "text"))
+    kept = [f"`{c}`" for c in docs.columns]
     doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     drawn = docs.select(
         *kept, F.coalesce("source", F.lit("")).alias("_source"), F.isnull("source").alias("_none"),
@@ -87,4 +90,4 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, alpha: floa
     )
     copies = counted.where("copies > 0").select(*kept, "copies", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
     keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws(":", doc_id, F.col("copy"), F.lit(f"order {seed}")).cast("binary")))
-    return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key").select(*given, "copies", "copy", "shuffle_key")

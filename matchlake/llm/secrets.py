@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.functions.plan import with_once
+from matchlake.llm.columns import set_aside
 
 #: Base patterns, in the order of their kinds. Hits of ``assign`` count when their value has 12 characters or more; the
 #: runs of the other two are maximal, so their least length stands in the pattern.
@@ -24,8 +25,6 @@ KINDS = ("assign", "access", "hex", "random")
 PATTERNS = dict(zip(KINDS, (ASSIGN, ACCESS, HEX, RUN)))
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string>>"
 
-#: Models are fitted on the texts of about so many documents, picked by a hash of their id.
-LEARNED_DOCS = 4096
 #: A run is random when its log-likelihood ratio reaches so many nats in all and per pair of characters.
 LEAST_RATIO, LEAST_PER_PAIR = 10.0, 0.6
 #: A run of fewer different characters is a rule or a filler, not a secret.
@@ -46,16 +45,14 @@ def _pairs(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit("(?s)(?=(..))"), F.lit(1))
 
 
-def learn(docs: DataFrame, learned_docs: int = LEARNED_DOCS) -> list[float]:
+def learn(docs: DataFrame) -> list[float]:
     """Log-likelihood ratios of character pairs, by 128 times the first character's code plus the second's.
 
-    Labelled samples come from about ``learned_docs`` documents: values that the base patterns find are random strings, and so
-    is the base64 of each id's digest; all other words of six characters or more are identifiers. Pairs are counted in Spark; a table of at most 67 x 67
-    pairs and two classes is fetched. A pair's chance is smoothed by that of its second character alone. Without documents every ratio is 0.
+    Labelled samples come from all documents: values that the base patterns find are random strings, and so is the base64 of
+    each id's digest; all other words of six characters or more are identifiers. Words are counted first, then their pairs;
+    a table of at most 67 x 67 pairs and two classes is fetched. A pair's chance is smoothed by that of its second character alone. Without documents every ratio is 0.
     """
-    share = min(1.0, learned_docs / max(1, docs.count()))
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("secrets")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    text = docs.where((draw < share) & F.col("text").isNotNull()).select("doc_id", "text")
+    text = docs.where(F.col("text").isNotNull()).select("doc_id", "text")
     digest_of_id = F.base64(F.unhex(F.sha2(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"), 256)))
     values = F.concat(
         F.filter(F.transform(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(0)), _value), lambda v: F.length(v) >= 12),
@@ -103,7 +100,8 @@ def find(docs: DataFrame, ratios: list[float]) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     cuts = [F.struct(F.split(text, p, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias("hits")).alias(k) for k, p in PATTERNS.items()]
-    cut = with_once(docs.drop("spans"), "_cut", F.struct(*cuts))
+    docs, given = set_aside(docs.drop("spans"), ("text",))
+    cut = with_once(docs, "_cut", F.struct(*cuts))
     model = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
     hit = "regexp_extract(h, '[:=]\\\\x20*[\"\\']?(.*)$', 1)"
     scored = with_once(cut, "_found", F.struct(
@@ -121,7 +119,7 @@ def find(docs: DataFrame, ratios: list[float]) -> DataFrame:
     told = F.filter(F.filter(judged, lambda j: j["good"]), lambda j: ~F.exists("_base", lambda b: (
         (b["start"] <= j["span"]["start"]) & (j["span"]["end"] <= b["end"]))))
     found = with_once(chosen, "spans", F.array_sort(F.concat("_base", F.transform(told, lambda j: j["span"]))))
-    return found.select(*[c for c in docs.columns if c != "spans"], "spans")
+    return found.select(*given, "spans")
 
 
 def told(spans: Column) -> Column:
@@ -151,12 +149,10 @@ def redact(found: DataFrame, mark: str = "[secret]") -> DataFrame:
             if(s.start < a.at, a.gaps, concat(a.gaps, array(named_struct('start', a.at, 'end', s.start))))),
         a -> concat(a.gaps, array(named_struct('start', a.at, 'end', length(text) + 0L))))""")
     clean = F.array_join(F.transform(cuts, lambda g: F.substr("text", (g["start"] + 1).cast("int"), (g["end"] - g["start"]).cast("int"))), mark)
-    once = with_once(found, "_clean", F.when(F.size("spans") > 0, clean).otherwise(F.col("text")))
-    def column(c: str) -> Column:
-        if c == "text":
-            return F.col("_clean").alias("text")
-        if c == "n_chars":
-            return F.when(F.size("spans") > 0, F.length("_clean").cast(found.schema["n_chars"].dataType)).otherwise(F.col("n_chars")).alias("n_chars")
-        return F.col(c)
-
-    return once.select(*[column(c) for c in found.columns if c != "spans"])
+    held, given = set_aside(found, ("text", "spans", "n_chars"))
+    once = with_once(held, "_clean", F.when(F.size("spans") > 0, clean).otherwise(F.col("text")))
+    column = {"text": F.col("_clean").alias("text")}
+    if "n_chars" in found.columns:
+        counted = F.length("_clean").cast(found.schema["n_chars"].dataType)
+        column["n_chars"] = F.when(F.size("spans") > 0, counted).otherwise(F.col("n_chars")).alias("n_chars")
+    return once.select(*[column.get(c, back) for c, back in zip(found.columns, given) if c != "spans"])

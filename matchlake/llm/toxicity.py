@@ -189,8 +189,10 @@ def fit(sample: DataFrame, lasso: float = LASSO, counterfactual: float = COUNTER
 def score(docs: DataFrame, model: dict, *carried: str) -> DataFrame:
     """``doc_id``, the columns ``carried``, ``score`` and ``predicted`` (1 from a score of 0.5 on) for every row.
 
-    Only ``text`` is looked at, whole; NULL and empty texts get the score of no words. Repeated rows score alike.
+    Only ``text`` is looked at, whole; NULL and empty texts get the score of no words. Repeated rows score alike, no rows give
+    none. Carried columns named ``score`` or ``predicted`` give way to those made here.
     """
+    carried = tuple(c for c in carried if c.lower() not in ("doc_id", "score", "predicted"))
     words, weights, bias = model["words"], model["weights"], model["bias"]
     schema = docs.select("doc_id", *carried).schema
     told = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in schema] + ["score double", "predicted int"])
