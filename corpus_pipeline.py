@@ -1,7 +1,8 @@
 """The corpus pipeline: toxic documents and near duplicates go, secrets are blacked out, sources are mixed, bins are packed.
 
 Each stage takes (spark, docs, folder of the tables) and works on all rows its predecessor kept; between stages the rows are
-written as Parquet below ``spark.checkpoint.dir`` and read again. No stage but the last changes the columns of documents.
+written as Parquet below ``spark.checkpoint.dir`` and read again. No stage but the last changes the columns of documents, and
+further columns may have any name. Every stage gives no rows for no rows, takes NULL texts for empty ones and whole texts of any length.
 SQL cannot express the classifier or the packing, so tests compare the pipeline with a brute-force version.
 """
 
@@ -11,46 +12,66 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.llm import mixing, packing, prefix_join, secrets, toxicity
+from matchlake.llm.columns import set_aside
 from matchlake.llm.storing import stored
 
 #: SQL cannot express every stage.
 ORACLE_SQL = None
+#: The row key's column while a stage works.
+KEY = "row_key_of_stage"
 
 
 def _may_learn():
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5)) != 0
 
 
+def _values(docs: DataFrame) -> list:
+    """All columns of a row as text, and which of them are NULL."""
+    return [F.col(f"`{c}`").cast("string") for c in docs.columns] + [F.col(f"`{c}`").isNull() for c in docs.columns]
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not call toxic; labels of the held-out fifth are not learned from."""
+    """Documents that the classifier does not call toxic; labels of the held-out fifth are not learned from.
+
+    A NULL or empty text has the score of no words. Of repeated rows all stay or all go.
+    """
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
-    model = toxicity.fit(toxicity.labelled_sample(docs, labels, _may_learn()))
-    scored = toxicity.score(docs, model, *[c for c in docs.columns if c != "doc_id"])
-    return scored.where("predicted = 0").select(*docs.columns)
+    plain, given = set_aside(docs, ("doc_id", "text"))
+    model = toxicity.fit(toxicity.labelled_sample(plain, labels, _may_learn()))
+    scored = toxicity.score(plain, model, *plain.columns)
+    return scored.where("predicted = 0").select(*given)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near duplicates: that of the smallest doc_id. Rows without doc_id stay.
+    """One row of each group of near duplicates: that of the smallest doc_id (NULL last), then of the smallest row key.
 
-    Of rows that repeat a doc_id one stays; texts without words have no duplicates but their own repetition.
+    Rows are told apart by a hash of all their columns, so rows that share a doc_id, or have none, are documents of their own. Equal
+    rows are one; texts without words are near duplicates of nothing else.
     """
-    kept = prefix_join.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").select(*docs.columns)
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    plain, given = set_aside(docs, ("doc_id", "text"))
+    keyed = plain.withColumn(KEY, F.xxhash64(*_values(plain)))
+    component = prefix_join.near_duplicates(keyed.select(F.col(KEY).alias("doc_id"), "text")).distinct().select(
+        F.col("doc_id").alias(KEY), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", KEY)
+    first = keyed.select("doc_id", KEY).join(component, KEY).groupBy("component_id").agg(F.min(order).alias("first"))
+    kept = keyed.join(first.select(F.col("first")[KEY].alias(KEY)), KEY, "left_semi")
+    return kept.dropDuplicates([KEY]).select(*given)
 
 
 def black_out_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with every secret found replaced by a mark and ``n_chars`` counted anew."""
-    return secrets.redact(secrets.find(docs, secrets.learn(docs))).select(*docs.columns)
+    """All documents, with every secret found replaced by a mark and ``n_chars`` counted anew. NULL texts stay NULL."""
+    plain, given = set_aside(docs, ("doc_id", "text", "n_chars"))
+    return secrets.redact(secrets.find(plain, secrets.learn(plain))).select(*given)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture by source; a document drawn n times stands in n rows."""
-    return mixing.mix(docs).select(*docs.columns)
+    """The mixture by source; a document drawn n times stands in n rows. A NULL source is a source."""
+    plain, given = set_aside(docs, ("doc_id", "text", "source"))
+    return mixing.mix(plain).select(*given)
 
 
 def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The packing of the mixture: one row per piece."""
+    """The packing of the mixture: one row per piece. A NULL or empty text is a piece without characters; repeated rows are numbered."""
     return packing.pack(docs)
 
 
