@@ -16,6 +16,7 @@ from matchlake.fixed_values import HISTOGRAM_BINS, PIE_SLICES, TOP_SLICES
 from matchlake.functions.numbers import magnitude_bucket
 from matchlake.operators.maintain import assign_key
 from matchlake.operators.ranking import accumulated, counted, cumulative, null_safe_join, quantiles, quantiles_of, running_total
+from matchlake.session import cut_lineage
 
 #: Into how many blocks the places of an axis are dealt, so that no task holds all of them.
 AXIS_BLOCKS = 64
@@ -167,41 +168,71 @@ def _bounds(df: DataFrame, column: str) -> tuple[Column, Column]:
     return ends.select("low").scalar(), ends.select("high").scalar()
 
 
-def trend_lowess(df: DataFrame, x: str, y: str, frac: float = 2 / 3, grid: int = 50) -> DataFrame:
-    """Locally weighted line (tricube weights, no robustness rounds) at ``grid`` evenly spaced places.
+def _local_lines(places: DataFrame, reaches: DataFrame, mass: str) -> DataFrame:
+    """The weighted line's level at each place: ``i``, ``at``, ``smoothed``. ``mass`` is what an x weighs besides its distance."""
+    reach = places.join(reaches, "i").where((F.col("d") < F.col("h")) | (F.col("d") == 0))
+    u = F.col("d") / F.col("h")
+    weight = F.when(F.col("h") > 0, F.when(u < 1, F.pow(1 - F.pow(u, F.lit(3)), F.lit(3))).otherwise(0.0)).otherwise(
+        (F.col("d") == 0).cast("double")
+    )
+    w, dx = F.col("w"), F.col("x") - F.col("at")
+    sums = reach.withColumn("w", weight).groupBy("i", "at").agg(
+        F.sum(w * F.col(mass)).alias("s0"), F.sum(w * F.col(mass) * dx).alias("s1"),
+        F.sum(w * F.col(mass) * dx * dx).alias("s2"), F.sum(w * F.col("sy")).alias("t0"),
+        F.sum(w * F.col("sy") * dx).alias("t1"),
+    )
+    det = F.col("s0") * F.col("s2") - F.col("s1") * F.col("s1")
+    level = (F.col("s2") * F.col("t0") - F.col("s1") * F.col("t1")) / F.nullif(det, F.lit(0.0))
+    flat = F.col("t0") / F.nullif(F.col("s0"), F.lit(0.0))
+    return sums.select("i", "at", F.coalesce(level, flat).alias("smoothed"))
+
+
+def trend_lowess(df: DataFrame, x: str, y: str, frac: float = 2 / 3, grid: int = 50, rounds: int = 0) -> DataFrame:
+    """Locally weighted line (tricube weights) at ``grid`` evenly spaced places, with so many robustness ``rounds``.
 
     Rows are first reduced to the distinct x with their sums. How far a place reaches comes from counts accumulated over
-    buckets of the distance, so no task sees all distances of a place.
+    buckets of the distance, so no task sees all distances of a place. A round takes each row's residual from the curve
+    (linear between places) and weighs the row by the bisquare of residual over six times the exact median residual; where
+    that median is 0, rows off the curve weigh nothing. Rows next to a place without a value keep their full weight.
     """
     data = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
         F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")
     )
     low, high = _bounds(data, "x")
+
+    def at_places(points: DataFrame) -> DataFrame:
+        return points.withColumn("low", low).withColumn("high", high).select(
+            "*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i")
+        ).withColumn(
+            "at", F.col("low") + (F.col("high") - F.col("low")) * F.col("i") / (grid - 1)
+        ).withColumn("d", F.abs(F.col("x") - F.col("at")))
+
     points = data.groupBy("x").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("sy"))
-    spread = points.withColumn("low", low).withColumn("high", high).select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i")
-    ).withColumn(
-        "at", F.col("low") + (F.col("high") - F.col("low")) * F.col("i") / (grid - 1)
-    ).withColumn("d", F.abs(F.col("x") - F.col("at")))
+    spread = at_places(points)
     distances = spread.groupBy("i", "d").agg(F.sum("n").alias("n"))
     before = running_total(distances, ["i"], magnitude_bucket(F.col("d")), [F.col("d")], F.col("n"), "before")
     needed = F.floor(points.agg(F.sum("n").alias("all")).scalar() * F.lit(frac) + 1e-10)
     reaches = before.where(F.col("before") + F.col("n") >= needed).groupBy("i").agg(F.min("d").alias("h"))
-    reach = spread.join(reaches, "i").where((F.col("d") < F.col("h")) | (F.col("d") == 0))
-    u = F.col("d") / F.col("h")
-    weight = F.when(F.col("h") > 0, F.when(u < 1, F.pow(1 - F.pow(u, F.lit(3)), F.lit(3))).otherwise(0.0)).otherwise(
-        (F.col("d") == 0).cast("double")
-    )
-    w, dx = F.col("w"), F.col("x") - F.col("at")
-    sums = reach.withColumn("w", weight).groupBy("i", "at").agg(
-        F.sum(w * F.col("n")).alias("s0"), F.sum(w * F.col("n") * dx).alias("s1"),
-        F.sum(w * F.col("n") * dx * dx).alias("s2"), F.sum(w * F.col("sy")).alias("t0"),
-        F.sum(w * F.col("sy") * dx).alias("t1"),
-    )
-    det = F.col("s0") * F.col("s2") - F.col("s1") * F.col("s1")
-    level = (F.col("s2") * F.col("t0") - F.col("s1") * F.col("t1")) / F.nullif(det, F.lit(0.0))
-    flat = F.col("t0") / F.nullif(F.col("s0"), F.lit(0.0))
-    return sums.select(F.col("i").alias("grid_place"), F.col("at").alias(x), F.coalesce(level, flat).alias("smoothed"))
+    if rounds:
+        # One row per place, read again in every round.
+        reaches = cut_lineage(reaches)
+    curve = _local_lines(spread, reaches, "n")
+    for _ in range(rounds):
+        curve = cut_lineage(curve)
+        levels = curve.agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "smoothed"))), lambda s: s["smoothed"]).alias("levels"))
+        place = F.coalesce((F.col("x") - low) / F.nullif(high - low, F.lit(0.0)) * (grid - 1), F.lit(0.0))
+        near = data.withColumn("levels", levels.scalar()).withColumn("place", place).withColumn(
+            "step", F.least(F.floor("place"), F.lit(grid - 2)).cast("int"))
+        left, right = F.get("levels", F.col("step")), F.get("levels", F.col("step") + 1)
+        rest = near.select("x", "y", F.abs(F.col("y") - (left + (right - left) * (F.col("place") - F.col("step")))).alias("rest"))
+        typical = quantiles(rest, [], "rest", {"median": 0.5}).select("median").scalar()
+        share = F.col("rest") / (6 * F.col("typical"))
+        bisquare = F.when(share < 1, F.pow(1 - share * share, F.lit(2))).otherwise(0.0)
+        weight = F.when(F.col("rest").isNull(), 1.0).when(F.col("typical") > 0, bisquare).otherwise((F.col("rest") == 0).cast("double"))
+        weighed = rest.withColumn("typical", typical).withColumn("weight", weight)
+        points = weighed.groupBy("x").agg(F.sum("weight").alias("mass"), F.sum(F.col("weight") * F.col("y")).alias("sy"))
+        curve = _local_lines(at_places(points), reaches, "mass")
+    return curve.select(F.col("i").alias("grid_place"), F.col("at").alias(x), "smoothed")
 
 
 def donut(df: DataFrame, name: str, value: str, n: int = TOP_SLICES) -> DataFrame:

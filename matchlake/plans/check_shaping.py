@@ -166,6 +166,27 @@ def _(t: Tables):
     return out.withColumn("p_retailprice", F.round("p_retailprice", 4)).withColumn("smoothed", F.round("smoothed", 4))
 
 
+@check("shape_trend_lowess_robust", """
+WITH raw AS (SELECT CAST(p_size AS DOUBLE) AS x, CAST(p_retailprice AS DOUBLE) AS y FROM part),
+pts AS (SELECT x, count(*) AS n, sum(y) AS sy FROM raw GROUP BY 1),
+ends AS (SELECT min(x) AS lo, max(x) AS hi, sum(n) AS total FROM pts),
+grid AS (SELECT i, lo + (hi - lo) * i / 49.0 AS gx, total FROM ends, range(0, 50) r(i)),
+d AS (SELECT i, gx, total, x, n, sy, abs(x - gx) AS d, sum(n) OVER (PARTITION BY i ORDER BY abs(x - gx), x ROWS UNBOUNDED PRECEDING) AS upto FROM grid, pts),
+h AS (SELECT *, min(CASE WHEN upto >= floor(total * (2.0 / 3) + 1e-10) THEN d END) OVER (PARTITION BY i) AS h FROM d),
+w AS (SELECT *, CASE WHEN d < h THEN (1 - (d / h) ** 3) ** 3 ELSE 0 END AS w, x - gx AS dx FROM h),
+s AS (SELECT i, gx, sum(w * n) AS s0, sum(w * n * dx) AS s1, sum(w * n * dx * dx) AS s2, sum(w * sy) AS t0, sum(w * sy * dx) AS t1 FROM w GROUP BY 1, 2),
+c AS (SELECT i, (s2 * t0 - s1 * t1) / (s0 * s2 - s1 * s1) AS v FROM s),
+t AS (SELECT x, y, (x - lo) / (hi - lo) * 49 AS t, least(floor((x - lo) / (hi - lo) * 49), 48) AS k FROM raw, ends),
+r AS (SELECT x, y, abs(y - (a.v + (b.v - a.v) * (t - k))) AS r FROM t JOIN c a ON a.i = k JOIN c b ON b.i = k + 1),
+q AS (SELECT x, y, r / (6 * (SELECT quantile_cont(r, 0.5) FROM r)) AS q FROM r),
+m AS (SELECT x, sum(CASE WHEN q < 1 THEN (1 - q * q) ** 2 ELSE 0 END) AS mass, sum(CASE WHEN q < 1 THEN (1 - q * q) ** 2 ELSE 0 END * y) AS my FROM q GROUP BY 1),
+f AS (SELECT i, gx, sum(w * mass) AS s0, sum(w * mass * dx) AS s1, sum(w * mass * dx * dx) AS s2, sum(w * my) AS t0, sum(w * my * dx) AS t1 FROM w JOIN m USING (x) GROUP BY 1, 2)
+SELECT CAST(i AS INTEGER) AS grid_place, round(gx, 6) AS p_size, round((s2 * t0 - s1 * t1) / (s0 * s2 - s1 * s1), 4) AS smoothed FROM f""")
+def _(t: Tables):
+    out = sh.trend_lowess(t.part, "p_size", "p_retailprice", rounds=1)
+    return out.withColumn("p_size", F.round("p_size", 6)).withColumn("smoothed", F.round("smoothed", 4))
+
+
 @check("shape_donut", """
 WITH top AS (SELECT p_brand, sum(p_size) AS v FROM part GROUP BY 1 ORDER BY v DESC, p_brand LIMIT 12)
 SELECT p_brand, CAST(v AS BIGINT) AS sizes, round(CAST(v AS DOUBLE) / sum(v) OVER (), 6) AS share FROM top""")

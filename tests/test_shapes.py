@@ -57,6 +57,42 @@ def test_lowess_with_a_far_out_x(spark):
         assert abs(r.smoothed - (my + (w * (xs - mean) * (ys - my)).sum() / spread * (r.x - mean))) < 1e-3 * max(1, abs(r.smoothed))
 
 
+def plain_lowess(xs, ys, frac, grid, rounds):
+    """Local lines at the places, then rounds of bisquare weights, over all rows at once."""
+    places, weights = np.linspace(xs.min(), xs.max(), grid), np.ones(len(xs))
+    for k in range(rounds + 1):
+        curve = []
+        for at in places:
+            d = np.abs(xs - at)
+            h = np.sort(d)[int(len(xs) * frac + 1e-10) - 1]
+            w = np.where(d < h, np.clip(1 - (d / h) ** 3, 0, None) ** 3, 0.0) * weights
+            mean, level = (w * xs).sum() / w.sum(), (w * ys).sum() / w.sum()
+            slope = (w * (xs - mean) * (ys - level)).sum() / (w * (xs - mean) ** 2).sum()
+            curve.append(level + slope * (at - mean))
+        rest = np.abs(ys - np.interp(xs, places, curve))
+        weights = np.clip(1 - (rest / (6 * np.median(rest))) ** 2, 0, None) ** 2
+    return curve
+
+
+@pytest.mark.parametrize("rounds", [1, 3])
+def test_lowess_with_robustness_rounds(spark, rounds):
+    rng = np.random.default_rng(2)
+    xs = np.repeat(rng.random(150) * 20, 2)
+    ys = 2 * xs + rng.standard_normal(300)
+    ys[rng.choice(300, 25, replace=False)] += 200
+    df = spark.createDataFrame(list(zip(xs.tolist(), ys.tolist())) + [(None, 1.0), (2.0, None)], "x double, y double").repartition(3)
+    got = [r.smoothed for r in sh.trend_lowess(df, "x", "y", frac=0.5, grid=20, rounds=rounds).orderBy("grid_place").collect()]
+    assert np.allclose(got, plain_lowess(xs, ys, 0.5, 20, rounds), rtol=1e-8)
+    if rounds == 3:
+        assert np.abs(np.array(got) - 2 * np.linspace(xs.min(), xs.max(), 20)).max() < 1.5
+
+
+def test_lowess_rounds_without_spread(spark):
+    flat = spark.createDataFrame([(3.0, 5.0)] * 4, "x double, y double")
+    assert {r.smoothed for r in sh.trend_lowess(flat, "x", "y", rounds=2).collect()} == {5.0}
+    assert sh.trend_lowess(flat.where("false"), "x", "y", rounds=2).count() == 0
+
+
 def test_heatmap_shows_every_place(spark):
     df = spark.createDataFrame([("a", i, 1.0 * i) for i in range(1500)] + [("b", 7, 3.0), ("b", 7, 5.0), (None, 1, 1.0)], "y string, x int, z double")
     got = {(r.y, r.x): r["mean"] for r in sh.heatmap(df, "x", "y", "z").collect()}
