@@ -4,6 +4,10 @@ from conftest import rows
 from matches import staged
 
 from matchlake.operators.maintain import KEY_RANGES
+from matchlake.operators.normalise import balls
+from matchlake.plans import tables
+from matchlake.plans.catalogue import QUERIES
+from matchlake.plans.tables import Tables
 from matchlake.plans.text_matches import match_counts, match_documents
 from matchlake.sources.documents import number_matches, parse_documents, with_key_counts
 
@@ -35,3 +39,37 @@ def test_balls_are_picked_by_place(spark):
     assert (ball.batter, ball.bowler, ball.runs.total, ball.extras.wides, ball.runs.non_boundary, len(ball.wickets)) == ("A", "len4", 5, 1, True, 1)
     tie_break = documents.where("match_no = 8").selectExpr("innings[2].overs[0].deliveries AS balls").first()
     assert tie_break.balls is None
+
+
+def test_balls_are_made_on_columns_of_words(spark):
+    documents = match_documents(texts(spark))
+    assert "MapInArrow" in plan(documents) and "transform(words" not in plan(documents)
+
+
+def test_letters_of_several_bytes_and_odd_spaces(spark):
+    odd = [(0, "\tÉa 漢字漢. \r\n🙂x 9b\x0bc", "en", "web", 10), (1, "", "en", "web", 10), (2, None, "en", "web", 10)]
+    data = spark.createDataFrame(odd, "doc_id long, text string, lang string, source string, n_chars long")
+    made = match_documents(data).selectExpr(
+        "match_no", "flatten(flatten(innings.overs).deliveries) AS balls", "map_keys(info.registry.people) AS people", "innings.target.runs AS sizes").collect()
+    first, empty, missing = sorted(made, key=lambda r: r.match_no)
+    assert [(b.batter, b.bowler, b.non_striker, b.extras.noballs) for b in first.balls] == 2 * [
+        ("É", "len2", "a", None), ("漢", "len4", ".", 1), ("🙂", "len2", "x", None), ("9", "len4", "c", None)]
+    assert first.people == ["É", "漢", "🙂", "a", ".", "x", "c", "len2", "len4"] and first.sizes == [2, 2, 4]
+    assert (empty.balls, empty.sizes) == ([], [0, 0, 0]) and (missing.people, missing.sizes) == (None, [None, None, 6])
+
+
+def test_names_are_looked_up_in_parts_of_a_registry(spark):
+    words = " ".join(chr(0x61 + i % 26) + "x" * (i % 30) + chr(0x61 + i % 25) for i in range(300))
+    docs = match_documents(spark.createDataFrame([(1, words, "en", "web", 10)], "doc_id long, text string, lang string, source string, n_chars long"))
+    found = balls(docs.selectExpr("*", *[f"0L AS {c}" for c in KEY_RANGES.values()]))
+    assert "map_filter" in plan(found)
+    expected = [("p:" + w[0], f"p:len{len(w)}", "p:" + w[-1]) for w in words.split() + words.split()[:6]]
+    assert [tuple(r) for r in found.orderBy("delivery_id").select("batter", "bowler", "non_striker").collect()] == expected
+
+
+def test_innings_need_the_documents_once(spark, tmp_path, monkeypatch):
+    texts(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    built = []
+    monkeypatch.setattr(tables, "match_documents", lambda documents: built.append(1) or match_documents(documents))
+    assert QUERIES["norm_innings"](Tables(spark, str(tmp_path))).count() > 0
+    assert len(built) == 1
