@@ -10,7 +10,7 @@ from matchlake.schemas import COMMENTS
 from matchlake.session import configure, cut_lineage
 from matchlake.sources.documents import attach_numbers, number_matches, parse_documents, with_key_counts
 from matchlake.sources.people import load_players
-from matchlake.sources.snapshots import write_ball_fact, write_table
+from matchlake.sources.snapshots import stored, write_ball_fact, write_table
 
 # Keys that later loads must not change; read back before they are written again.
 KEY_TABLES = ["match_numbers", "teams", "venues", "players"]
@@ -45,27 +45,24 @@ def load(spark: SparkSession, staged: DataFrame, people: DataFrame, folder: str,
     if full:
         known = {name: table if name == "players" else None for name, table in known.items()}
     players = load_players(people, known["players"])
-    write_table(players, f"{folder}/players")
-    players = spark.read.parquet(f"{folder}/players")
+    players = stored(players, f"{folder}/players")
 
     # Parsed once. The keys of a match follow from the counts of all matches before it, so they are attached to what is stored.
     parsed = cut_lineage(with_key_counts(nm.judge(parse_documents(staged))))
     numbers = cut_lineage(number_matches(parsed, known["match_numbers"]))
-    write_table(nm.judge_players(attach_numbers(parsed, numbers), players), f"{folder}/documents")
-    judged = spark.read.parquet(f"{folder}/documents")
+    judged = stored(nm.judge_players(attach_numbers(parsed, numbers), players), f"{folder}/documents")
     fine, rejected = nm.split_judged(judged)
 
-    keyed_teams = cut_lineage(assign_key(nm.teams(fine), ["team_name"], "team_id", known["teams"]))
+    # Teams and venues are looked up as tables: of a checkpoint the planner knows no size, and broadcasts the matches instead.
+    keyed_teams = stored(with_comments(assign_key(nm.teams(fine), ["team_name"], "team_id", known["teams"])), f"{folder}/teams")
     named_venues = cut_lineage(nm.venues(fine))
     old_venues = known["venues"].select("venue_name", "venue_id") if known["venues"] is not None else None
-    keyed_venues = cut_lineage(
+    keyed_venues = stored(with_comments(
         assign_key(named_venues, ["venue_name"], "venue_id", old_venues).join(named_venues, "venue_name", "left")
-    )
+    ), f"{folder}/venues")
     tables = {
         "match_numbers": numbers,
         "rejected_matches": rejected,
-        "teams": keyed_teams,
-        "venues": keyed_venues,
         "matches": nm.matches(fine, keyed_teams, keyed_venues),
         "match_players": nm.match_players(fine, keyed_teams),
         "awards": nm.awards(fine),
@@ -80,7 +77,7 @@ def load(spark: SparkSession, staged: DataFrame, people: DataFrame, folder: str,
     for name, table in tables.items():
         write_table(with_comments(table), f"{folder}/{name}")
     write_ball_fact(with_comments(nm.balls(fine)), f"{folder}/balls")
-    names = [*tables, "players", "balls"]
+    names = [*tables, "teams", "venues", "players", "balls"]
     return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
 
 

@@ -73,3 +73,16 @@ def test_innings_need_the_documents_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(tables, "match_documents", lambda documents: built.append(1) or match_documents(documents))
     assert QUERIES["norm_innings"](Tables(spark, str(tmp_path))).count() > 0
     assert len(built) == 1
+
+
+def test_players_are_looked_up_by_side_and_matches_are_not_broadcast(spark, tmp_path):
+    texts(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    players = QUERIES["norm_match_players"](Tables(spark, str(tmp_path)))
+    steps = plan(players)
+    # Plans read from the top, so the people become rows after the teams are joined.
+    assert steps.index("player_identifier") < steps.rindex("explode(people") < steps.index("Join")
+    found = {(r.match_id, r.player_identifier): r.team_id for r in players.collect()}
+    assert "BuildLeft" not in players._jdf.queryExecution().executedPlan().toString()
+    # Match 1 is "Abc, x. Zebra": batters A, x and Z, bowlers of lengths 4, 2 and 5.
+    assert {who for match, who in found if match == "1"} == {"p:A", "p:x", "p:Z", "p:len4", "p:len2", "p:len5"}
+    assert found["1", "p:A"] == found["1", "p:x"] != found["1", "p:len4"]
