@@ -2,6 +2,7 @@
 
 from conftest import rows
 from matches import staged
+from pyspark.sql import functions as F
 
 from matchlake.operators.maintain import KEY_RANGES
 from matchlake.operators.normalise import balls
@@ -9,6 +10,7 @@ from matchlake.plans import tables
 from matchlake.plans.catalogue import QUERIES
 from matchlake.plans.tables import Tables
 from matchlake.plans.text_matches import match_counts, match_documents
+from matchlake.session import configure
 from matchlake.sources.documents import number_matches, parse_documents, with_key_counts
 
 WORDS = ["Abc,", "x.", "Zebra", "[odd", "mid11letter", "Abcdefghijkl", "Éa", "fourteen14chr", "a", "Thirteenchars"]
@@ -86,3 +88,18 @@ def test_players_are_looked_up_by_side_and_matches_are_not_broadcast(spark, tmp_
     # Match 1 is "Abc, x. Zebra": batters A, x and Z, bowlers of lengths 4, 2 and 5.
     assert {who for match, who in found if match == "1"} == {"p:A", "p:x", "p:Z", "p:len4", "p:len2", "p:len5"}
     assert found["1", "p:A"] == found["1", "p:x"] != found["1", "p:len4"]
+
+
+def test_larger_tables_make_more_tasks(spark, tmp_path):
+    configure(spark)
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        # About 100 MB that hardly shrink: in tasks of 64 or 128 MB they would come to one a core.
+        wide = spark.range(3_000_000).select(F.xxhash64("id").alias("match_id"), *[F.xxhash64("id", F.lit(i)).alias(f"c{i}") for i in range(3)])
+        wide.write.option("parquet.block.size", 4 << 20).parquet(str(tmp_path / "wide"))
+        read = spark.read.parquet(str(tmp_path / "wide"))
+        task, row = F.spark_partition_id().alias("task"), F.max(F.struct(*wide.columns))
+        assert len(read.groupBy(task).agg(row).collect()) >= 7
+        assert len(read.repartition("match_id").groupBy(task).agg(row).collect()) >= 10
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
