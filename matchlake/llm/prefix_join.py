@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.llm import shingles
-from matchlake.llm.components import connected_components
+from matchlake.llm.components import star_links
 from matchlake.llm.storing import discard, stored
 
 THRESHOLD = 75
@@ -334,9 +334,9 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRES
     discard(pairs)
 
     # Full round: what is not in one component yet.
-    component = connected_components(found)
-    placed = stored(members.join(component.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "gid", "rep", F.coalesce("component_id", "rep").alias("component_id")))
+    joined = star_links(found)
+    discard(found)
+    placed = stored(members.join(joined.withColumnRenamed("a", "rep"), "rep", "left").select("gid", "rep", F.coalesce("b", "rep").alias("component_id")))
     spread = placed.groupBy("gid").agg(F.min("component_id").alias("lowest"), F.max("component_id").alias("highest"))
     marked = tokens.join(spread, "gid")
     # Only shingles that still have two components.
@@ -364,8 +364,9 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRES
     several = of_ids.groupBy("doc_id").agg(*[f(F.struct(*signature)).alias(name) for f, name in ((F.min, "l"), (F.max, "h"))]).where("l <> h")
     ties = of_ids.join(several.select("doc_id"), "doc_id", "left_semi").join(classes, signature).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
-    component = connected_components(found.unionByName(more).unionByName(ties)).withColumnRenamed("node", "rep")
-    placed_classes = classes.join(component, "rep", "left").select(*signature, F.coalesce("component_id", "rep").alias("component_id"))
+    # The first round's stars stand for its links: without new links they are the components.
+    component = star_links(joined.unionByName(more).unionByName(ties)).withColumnRenamed("a", "rep")
+    placed_classes = classes.join(component, "rep", "left").select(*signature, F.coalesce("b", "rep").alias("component_id"))
     return narrow.select("doc_id", *signature).join(placed_classes, signature, "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))).alias("component_id"),

@@ -8,7 +8,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from matchlake.llm import prefix_trie, suffix_buckets, whitening
+from matchlake.llm import components, prefix_join, prefix_trie, suffix_buckets, whitening
 
 DOCS = "doc_id long, text string, key string, a string, open string, marks string, n_bytes string"
 
@@ -211,3 +211,32 @@ def test_prefix_trie_of_little(spark):
     frame = spark.createDataFrame([(3, 0, "user", "only", "d", "u", "x")], TURNS)
     assert run_trie(frame.where("false")) == []
     assert run_trie(frame) == plain_trie(rebuilt([(3, 0, "user", "only")]))
+
+
+@pytest.mark.parametrize("links", [[], [(2, 1), (1, 2), (5, 1), (7, 7), (None, 3)], [(k, k + 1) for k in range(40)], "random"])
+def test_components(spark, links):
+    if links == "random":
+        draw = random.Random(5)
+        links = [(draw.randrange(120), draw.randrange(120)) for _ in range(90)]
+    least = {n: n for pair in links if None not in pair and pair[0] != pair[1] for n in pair}
+    for _ in least:
+        for a, b in links:
+            if a in least and b in least:
+                least[a] = least[b] = min(least[a], least[b])
+    table = spark.createDataFrame(links, "a long, b long")
+    assert sorted(map(tuple, components.connected_components(table).collect())) == sorted(least.items())
+    assert sorted(map(tuple, components.star_links(table).collect())) == sorted((n, m) for n, m in least.items() if n != m)
+
+
+def test_settled_links_take_no_round(spark, monkeypatch):
+    """Rounds cost the driver a plan of eight stages each; links that are stars are written once, and no round confirms them."""
+    written = []
+    monkeypatch.setattr(components, "stored", lambda df, keep=components.stored: written.append(1) or keep(df))
+    assert components.star_links(spark.createDataFrame([(9, 1), (1, 5), (8, 2)], "a long, b long")).count() == 3
+    assert len(written) == 1
+    written.clear()
+    base = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty"
+    texts = [(1, base), (2, base + " more"), (3, "quite another text with other words in it")]
+    found = prefix_join.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.component_id) for r in found.collect()) == [(1, 1), (2, 1), (3, 3)]
+    assert len(written) == 2
