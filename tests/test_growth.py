@@ -90,6 +90,14 @@ def test_players_are_looked_up_by_side_and_matches_are_not_broadcast(spark, tmp_
     assert found["1", "p:A"] == found["1", "p:x"] != found["1", "p:len4"]
 
 
+def test_texts_without_words_have_no_raw_balls(spark, tmp_path):
+    texts(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["an_raw_json_deliveries"](Tables(spark, str(tmp_path)))
+    counts = {r.match_id: r["count"] for r in found.groupBy("match_id").count().collect()}
+    # Match 0 has no words; match 5 has a tie-break of six balls.
+    assert counts == {str(i): 3 * i + 6 * (i == 5) for i in range(1, 8)}
+
+
 def test_larger_tables_make_more_tasks(spark, tmp_path):
     configure(spark)
     spark.conf.set("spark.sql.shuffle.partitions", "32")
