@@ -98,6 +98,14 @@ def test_texts_without_words_have_no_raw_balls(spark, tmp_path):
     assert counts == {str(i): 3 * i + 6 * (i == 5) for i in range(1, 8)}
 
 
+def test_texts_without_words_have_no_officials(spark, tmp_path):
+    texts(spark).where("doc_id < 2").write.parquet(str(tmp_path / "documents.parquet"))
+    officials = QUERIES["norm_officials"](Tables(spark, str(tmp_path)))
+    # Match 1 is "Abc, x. Zebra": bowlers of lengths 4 and 2 are the umpires.
+    assert rows(officials, "match_id", "official_identifier", "match_role") == [
+        ("1", "p:,", "referee"), ("1", "p:len2", "umpires"), ("1", "p:len4", "umpires")]
+
+
 def test_larger_tables_make_more_tasks(spark, tmp_path):
     configure(spark)
     spark.conf.set("spark.sql.shuffle.partitions", "32")
