@@ -4,7 +4,7 @@ from conftest import rows
 from matches import staged
 from pyspark.sql import functions as F
 
-from matchlake.operators.maintain import KEY_RANGES
+from matchlake.operators.maintain import KEY_RANGES, ForeignKey, audit
 from matchlake.operators.normalise import balls
 from matchlake.plans import tables
 from matchlake.plans.catalogue import QUERIES
@@ -106,6 +106,18 @@ def test_texts_without_words_have_no_officials(spark, tmp_path):
         ("1", "p:,", "referee"), ("1", "p:len2", "umpires"), ("1", "p:len4", "umpires")]
 
 
+def test_parents_of_foreign_keys_are_not_broadcast(spark, tmp_path):
+    # A file of 10,000 keys in a row is small, however many rows the driver would have to hold.
+    spark.range(10_000).withColumnRenamed("id", "match_id").write.parquet(str(tmp_path / "matches"))
+    innings = spark.createDataFrame([(5,), (10_000,), (10_000,), (None,)], "match_id long")
+    found = audit(
+        {"innings": innings, "matches": spark.read.parquet(str(tmp_path / "matches"))},
+        [ForeignKey("innings", ("match_id",), "matches", ("match_id",))])
+    assert rows(found) == [("in matches", "innings", "10000", 2)]
+    steps = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in steps and "SortMergeJoin" in steps
+
+
 def test_larger_tables_make_more_tasks(spark, tmp_path):
     configure(spark)
     spark.conf.set("spark.sql.shuffle.partitions", "32")
